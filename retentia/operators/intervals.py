@@ -66,13 +66,13 @@ def valid_at_join(
     """
     day = F.unix_date(F.col(at))
     days = events.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, F.col(at).alias("_at")).distinct()
-    # One row; spans are clipped to the days that occur, so open ends stay short.
-    reach = events.agg(F.min(day).alias("_from"), F.max(day).alias("_to"))
+    # Spans are clipped to the days that occur, so open ends stay short.
+    reach = events.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    first_day, last_day = reach.select("first").scalar(), reach.select("last").scalar()
     clipped = (
         spans.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
-        .crossJoin(F.broadcast(reach))
-        .withColumn("_lo", F.greatest(F.unix_date(F.col(start)), "_from"))
-        .withColumn("_hi", F.least(F.coalesce(F.unix_date(F.col(end)), "_to"), "_to"))
+        .withColumn("_lo", F.greatest(F.unix_date(F.col(start)), first_day))
+        .withColumn("_hi", F.least(F.unix_date(F.col(end)), last_day))
         .filter("_lo <= _hi")
     )
     winner = F.struct(*rank, *[c for c in carry if c not in rank])

@@ -36,39 +36,26 @@ def exact_median(df: DataFrame, value: str, slack: float = 0.001) -> DataFrame:
     the sketch ever missed, the bracket widens to the full range and the answer is still exact.
     """
     values = df.select(F.col(value).alias("_v")).filter("_v IS NOT NULL")
-    sketch = values.agg(
-        F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], F.lit(100_000)).alias("_q"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    ).select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"), "_min", "_max")
+    v = F.col("_v")
+    bracket = values.agg(F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], F.lit(100_000)).alias("_q"))
+    low, high = bracket.select(F.col("_q")[0]).scalar(), bracket.select(F.col("_q")[1]).scalar()
     ranks = (
-        values.crossJoin(F.broadcast(sketch))
-        .groupBy("_lo", "_hi", "_min", "_max")
-        .agg(
+        values.agg(
             F.count(F.lit(1)).alias("_n"),
-            F.count_if(F.col("_v") < F.col("_lo")).alias("_below"),
-            F.count_if(F.col("_v") <= F.col("_hi")).alias("_upto"),
+            F.count_if(v < low).alias("_below"),
+            F.count_if(v <= high).alias("_upto"),
         )
         .withColumn("_low_rank", F.floor((F.col("_n") - 1) / 2))
         .withColumn("_high_rank", F.floor(F.col("_n") / 2))
         .withColumn("_hit", (F.col("_below") <= F.col("_low_rank")) & (F.col("_upto") > F.col("_high_rank")))
-        .withColumn("_from", F.when(F.col("_hit"), F.col("_lo")).otherwise(F.col("_min")))
-        .withColumn("_until", F.when(F.col("_hit"), F.col("_hi")).otherwise(F.col("_max")))
-        .withColumn("_before", F.when(F.col("_hit"), F.col("_below")).otherwise(F.lit(0)))
-        .select("_from", "_until", "_before", "_low_rank", "_high_rank")
     )
-    inside = (
-        values.crossJoin(F.broadcast(ranks))
-        .filter(F.col("_v").between(F.col("_from"), F.col("_until")))
-        .groupBy("_v", "_before", "_low_rank", "_high_rank")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    last_rank = F.col("_before") + F.sum("_c").over(Window.orderBy("_v")) - 1
-    ranked = inside.withColumn("_last", last_rank).withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    hit = ranks.select("_hit").scalar()
+    before = F.when(hit, ranks.select("_below").scalar()).otherwise(F.lit(0))
+    counted = values.filter(~hit | v.between(low, high)).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = counted.withColumn("_last", before + F.sum("_c").over(Window.orderBy("_v")) - 1)
 
     def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(F.col("_first"), F.col("_last")), F.col("_v")))
+        position = ranks.select(rank).scalar()
+        return F.max(F.when(position.between(F.col("_last") - F.col("_c") + 1, F.col("_last")), v)).cast("double")
 
-    return ranked.agg(
-        ((at("_low_rank").cast("double") + at("_high_rank").cast("double")) / 2).alias(f"median_{value}")
-    )
+    return ranked.agg(((at("_low_rank") + at("_high_rank")) / 2).alias(f"median_{value}"))

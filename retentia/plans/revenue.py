@@ -123,16 +123,12 @@ def customer_months(
     )
 
 
-def month_movement(reactivation: bool = False) -> Column:
+def month_movement() -> Column:
     """Class of a customer-month; explicit starts and ends first, then amendments, then the balance."""
     mrr, prev = F.col("mrr"), F.coalesce("prev_mrr", F.lit(0))
     new, churn = F.col("new_mrr_amount"), F.col("churn_mrr_amount")
     up, down = F.col("expansion_mrr"), F.col("contraction_mrr")
     chain = F.when((new > 0) & (prev == 0), "new").when((churn > 0) & (mrr == 0), "churn")
-    if reactivation:
-        chain = F.when((mrr > 0) & (F.col("prev_mrr") == 0) & F.col("was_customer"), "reactivation").when(
-            (new > 0) & (prev == 0), "new"
-        ).when((churn > 0) & (mrr == 0), "churn")
     return (
         chain.when((up > 0) & (down > 0), "mixed")
         .when(up > 0, "expansion")

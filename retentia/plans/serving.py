@@ -358,19 +358,20 @@ def feature_breadth_by_month(usage: DataFrame, scope: Scope = Scope(), p: Params
 
 
 def engagement_quadrant(detail: DataFrame, p: Params = Params()) -> DataFrame:
-    """Customers placed against the medians of revenue and usage; the medians are one broadcast row each."""
+    """Customers placed against the medians of revenue and usage; the medians are scalar subqueries."""
     events = f"total_events_{len(p.months)}m"
-    medians = exact_median(detail, "current_mrr").crossJoin(F.broadcast(exact_median(detail, events)))
-    rich, busy = F.col("current_mrr") >= F.col("median_current_mrr"), F.col(events) >= F.col(f"median_{events}")
+    mid_mrr, mid_events = exact_median(detail, "current_mrr").scalar(), exact_median(detail, events).scalar()
+    rich, busy = F.col("current_mrr") >= mid_mrr, F.col(events) >= mid_events
     place = (
         F.when(rich & busy, "high_mrr_high_usage")
         .when(rich, "high_mrr_low_usage")
         .when(busy, "low_mrr_high_usage")
         .otherwise("low_mrr_low_usage")
     )
-    return detail.crossJoin(F.broadcast(medians)).select(
-        "customer_id", "current_mrr", events, "risk_tier", "median_current_mrr", f"median_{events}", place.alias("quadrant")
-    )
+    return detail.select(
+        "customer_id", "current_mrr", events, "risk_tier",
+        mid_mrr.alias("median_current_mrr"), mid_events.alias(f"median_{events}"), place.alias("quadrant"),
+    )
 
 
 def post_ticket_engagement(
@@ -433,13 +434,13 @@ def usage_risk_table(detail: DataFrame, signals: Sequence[str] = RISK_SIGNALS, m
 
 def usage_shares(kpis: DataFrame, detail: DataFrame) -> DataFrame:
     """Engaged and declining customers as a share of all customers in the detail table."""
-    total = detail.agg(F.count(F.lit(1)).alias("total_customers"))
+    total = detail.agg(F.count(F.lit(1)).alias("total_customers")).scalar()
 
     def share(c: str) -> Column:
-        return F.col(c).cast("double") / F.nullif(F.col("total_customers"), F.lit(0)) * 100
+        return F.col(c).cast("double") / F.nullif(total, F.lit(0)) * 100
 
-    return kpis.crossJoin(F.broadcast(total)).select(
-        "mau", "total_customers", "declining_customers",
+    return kpis.select(
+        "mau", total.alias("total_customers"), "declining_customers",
         round_half_up(share("mau"), 1).alias("engagement_pct"),
         round_half_up(share("declining_customers"), 0).alias("declining_pct"),
     )
