@@ -57,10 +57,7 @@ def read_csv(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_T
         return None
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     df = clean_names(raw)
-    nulls = [t for t in null_tokens if t != ""]
-    if not nulls:
-        return df
-    return df.select(*[F.when(~F.col(c).isin(nulls), F.col(c)).alias(c) for c in df.columns])
+    return df.select(*[F.when(~F.col(c).isin(list(null_tokens)), F.col(c)).alias(c) for c in df.columns])
 
 
 def read_dim_batch(

@@ -70,7 +70,8 @@ def read_model(spark: SparkSession, path: str, query: str | None = None, args: l
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a headered CSV, one file per partition; nothing is gathered on the driver."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def load_summary(tables: dict[str, DataFrame]) -> DataFrame:

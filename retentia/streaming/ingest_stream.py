@@ -14,13 +14,14 @@ from retentia.sources.batches import BATCH, text_schema
 def delivered_files(store: RawStore, root: str, table: str, columns: Sequence[str]) -> DataFrame:
     """Rows of all deliveries of one table as a stream; the batch number comes from the folder name."""
     number = F.regexp_extract(F.col("_metadata.file_path"), r"batch_0*(\d+)/", 1)
-    return (
+    rows = (
         store.spark.readStream.schema(text_schema(columns))
         .option("header", True)
+        .option("enforceSchema", True)
         .option("escape", '"')
         .csv(f"{root}/batch_*/{table}.csv")
-        .withColumn(BATCH, number.cast("int"))
     )
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns], number.cast("int").alias(BATCH))
 
 
 def stream_facts(store: RawStore, root: str, table: str, columns: Sequence[str], checkpoint: str) -> StreamingQuery:

@@ -99,10 +99,10 @@ def _(m):
 
 @query(
     "orphan_anti_join",
-    oracle("SELECT DISTINCT u.customer_id FROM stg_usage_events u WHERE NOT EXISTS (SELECT 1 FROM dim_customers c WHERE c.customer_id = u.customer_id)"),
-)
+    oracle("SELECT DISTINCT customer_id FROM stg_subscriptions WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM stg_usage_events)"),
+)
 def _(m):
-    return quality.orphan_keys(m.stg_usage_events, m.dim_customers, "customer_id")
+    return quality.orphan_keys(m.stg_subscriptions, m.stg_usage_events, "customer_id")
 
 
 @query("semi_join_filter", oracle("SELECT invoice_id, customer_id, status FROM stg_invoices WHERE invoice_id IN (SELECT entity_id FROM raw_corrections)"))
