@@ -7,15 +7,17 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Days are grouped into aligned blocks of 1, 2, 4 .. 2**TOP_LEVEL days.
+# Days are grouped into aligned blocks of 1, 2, 4 .. 2**TOP_LEVEL days. A block is one number:
+# its position among the blocks of its level, times LEVELS, plus the level.
 TOP_LEVEL = 7
+LEVELS = 16
 
 
 def _covering_blocks(lo: Column, hi: Column, top: int) -> Column:
-    """The fewest aligned blocks that cover days ``lo..hi`` exactly, as (level, block) structs.
+    """The fewest aligned blocks that cover days ``lo..hi`` exactly; NULL entries stand for no block.
 
-    At each level below the top only a left edge with an odd number or a right edge with an even
-    number is not covered by a block one level up: at most two blocks per level.
+    At each level below the top only a left edge with an odd position or a right edge with an even
+    position is not covered by a block one level up: at most two blocks per level.
     """
 
     def first(k: int) -> Column:
@@ -24,25 +26,19 @@ def _covering_blocks(lo: Column, hi: Column, top: int) -> Column:
     def last(k: int) -> Column:
         return F.shiftright(hi + 1, k) - 1
 
-    def block(k: int, number: Column) -> Column:
-        return F.struct(F.lit(k).alias("level"), number.alias("block"))
-
     edges = []
     for k in range(top):
         l, h = first(k), last(k)
         left_edge = (l <= h) & (l.bitwiseAND(F.lit(1)) == 1)
         right_edge = (l <= h) & (h.bitwiseAND(F.lit(1)) == 0)
-        edges += [F.when(left_edge, block(k, l)), F.when(right_edge, block(k, h))]
-    whole = F.when(
-        first(top) <= last(top), F.transform(F.sequence(first(top), last(top)), lambda b: block(top, b))
-    )
-    return F.array_distinct(F.concat(F.array_compact(F.array(*edges)), F.coalesce(whole, F.array())))
+        edges += [F.when(left_edge, l * LEVELS + k), F.when(right_edge, h * LEVELS + k)]
+    l, h = first(top), last(top)
+    whole = F.when(l <= h, F.sequence(l * LEVELS + top, h * LEVELS + top, F.lit(LEVELS)))
+    return F.concat(F.array(*edges), F.coalesce(whole, F.array().cast("array<int>")))
 
 
 def _blocks_of_day(day: Column, top: int) -> Column:
-    return F.array(
-        *[F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("block")) for k in range(top + 1)]
-    )
+    return F.array(*[F.shiftright(day, k) * LEVELS + k for k in range(top + 1)])
 
 
 def valid_at_join(
@@ -54,6 +50,7 @@ def valid_at_join(
     end: str,
     rank: Sequence[str],
     carry: Sequence[str],
+    days_of: DataFrame | None = None,
     top: int = TOP_LEVEL,
 ) -> DataFrame:
     """Left join of each event to the best span valid on its day: ``start <= at`` and (``end`` NULL or ``at <= end``).
@@ -63,12 +60,16 @@ def valid_at_join(
     span), the best span per (key, block) is found by a map-side combined aggregation, and each distinct
     day looks up the ``top + 1`` blocks it lies in. Work grows with events + spans, never with their
     product, and a hot key is spread over its blocks.
+
+    ``days_of`` is a cheaper relation with the same (key, day) pairs, such as the events before
+    deduplication; default the events themselves.
     """
-    day = F.unix_date(F.col(at))
-    days = events.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, F.col(at).alias("_at")).distinct()
+    asked = (events if days_of is None else days_of).select(key, F.col(at).alias("_at"))
+    days = asked.filter(F.col(key).isNotNull() & F.col("_at").isNotNull()).distinct()
     # Spans are clipped to the days that occur, so open ends stay short.
-    reach = events.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    first_day, last_day = reach.select("first").scalar(), reach.select("last").scalar()
+    day = F.unix_date("_at")
+    reach = asked.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    first_day, last_day = reach["first"], reach["last"]
     clipped = (
         spans.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
         .withColumn("_lo", F.greatest(F.unix_date(F.col(start)), first_day))
@@ -77,14 +78,14 @@ def valid_at_join(
     )
     winner = F.struct(*rank, *[c for c in carry if c not in rank])
     best = (
-        clipped.select(key, winner.alias("_w"), F.explode(_covering_blocks(F.col("_lo"), F.col("_hi"), top)).alias("_blk"))
-        .groupBy(key, "_blk.level", "_blk.block")
+        clipped.select(key, winner.alias("_w"), F.explode(_covering_blocks(F.col("_lo"), F.col("_hi"), top)).alias("_block"))
+        .filter("_block IS NOT NULL")
+        .groupBy(key, "_block")
         .agg(F.max("_w").alias("_w"))
     )
     looked_up = (
-        days.select(key, "_at", F.explode(_blocks_of_day(F.unix_date("_at"), top)).alias("_blk"))
-        .select(key, "_at", "_blk.level", "_blk.block")
-        .join(best, [key, "level", "block"])
+        days.select(key, "_at", F.explode(_blocks_of_day(F.unix_date("_at"), top)).alias("_block"))
+        .join(best, [key, "_block"])
         .groupBy(key, "_at")
         .agg(F.max("_w").alias("_w"))
         .select(F.col(key).alias("_k"), "_at", *[F.col(f"_w.{c}").alias(c) for c in carry])

@@ -48,8 +48,10 @@ def _as_text(c: Column) -> Column:
 def compare_dimension(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Full outer join of the stored and the new state, each row marked with its ``action``.
 
-    Only columns on both sides are compared, as text, with NULL equal to empty.
+    The columns of the delivery are compared as text, with NULL equal to empty; a column that is new
+    in the delivery therefore marks every row with a value in it as updated.
     """
+    current = evolve_schema(current, incoming)
     old = current.select(F.struct("*").alias("old"), _as_text(F.col(key)).alias("_key"))
     new = incoming.select(F.struct("*").alias("new"), _as_text(F.col(key)).alias("_key"))
     shared = [c for c in incoming.columns if c in current.columns and c != key]
@@ -71,7 +73,7 @@ def merge_dimension(current: DataFrame, incoming: DataFrame, key: str) -> DataFr
     Keys must be unique on both sides (see :func:`duplicate_keys`).
     """
     evolved = evolve_schema(current, incoming)
-    compared = compare_dimension(evolved, incoming, key).filter("action <> 'delete'")
+    compared = compare_dimension(current, incoming, key).filter("action <> 'delete'")
     keep = F.col("action") == "unchanged"
 
     def merged(field) -> Column:

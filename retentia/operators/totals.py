@@ -28,34 +28,35 @@ def with_total(
     )
 
 
-def exact_median(df: DataFrame, value: str, slack: float = 0.001) -> DataFrame:
-    """One row with the exact median of a column (mean of the middle two for an even count).
+def exact_medians(df: DataFrame, columns: Sequence[str], slack: float = 0.001) -> dict[str, float | None]:
+    """Exact medians of numeric columns (mean of the middle two for an even count), as driver-side numbers.
 
-    A bounded quantile sketch brackets the middle; only the distinct values inside the bracket are
-    ranked, with the number of smaller values counted exactly, so no task holds the whole column. If
-    the sketch ever missed, the bracket widens to the full range and the answer is still exact.
+    Three kinds of jobs, each returning one row: a bounded quantile sketch brackets the middle of every
+    column, exact counts below and inside the brackets follow, then only the distinct values inside a
+    bracket are ranked, so no task holds a whole column. Should the sketch miss, the bracket widens to
+    the full range and the answer is still exact. ``df`` is read several times: pass a stored table.
     """
-    values = df.select(F.col(value).alias("_v")).filter("_v IS NOT NULL")
-    v = F.col("_v")
-    bracket = values.agg(F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], F.lit(100_000)).alias("_q"))
-    low, high = bracket.select(F.col("_q")[0]).scalar(), bracket.select(F.col("_q")[1]).scalar()
-    ranks = (
-        values.agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.count_if(v < low).alias("_below"),
-            F.count_if(v <= high).alias("_upto"),
+    quantiles = [0.5 - slack, 0.5 + slack]
+    sketch = df.agg(*[F.percentile_approx(c, quantiles, F.lit(100_000)).alias(c) for c in columns]).first()
+    found = [c for c in columns if sketch[c] is not None]
+    counts = df.agg(
+        F.lit(0).alias("_"),
+        *[F.count(c).alias(f"{c}_n") for c in found],
+        *[F.count_if(F.col(c) < F.lit(sketch[c][0])).alias(f"{c}_below") for c in found],
+        *[F.count_if(F.col(c) <= F.lit(sketch[c][1])).alias(f"{c}_upto") for c in found],
+    ).first()
+
+    def median(c: str) -> float:
+        low, high, before = (counts[f"{c}_n"] - 1) // 2, counts[f"{c}_n"] // 2, counts[f"{c}_below"]
+        inside = df.filter(F.col(c).between(F.lit(sketch[c][0]), F.lit(sketch[c][1])))
+        if not before <= low <= high < counts[f"{c}_upto"]:
+            inside, before = df.filter(F.col(c).isNotNull()), 0
+        counted = inside.groupBy(c).agg(F.count(F.lit(1)).alias("_c"))
+        upto = F.lit(before) + F.sum("_c").over(Window.orderBy(c))
+        middle = counted.withColumn("_upto", upto).filter(
+            (F.col("_upto") > low) & (F.col("_upto") - F.col("_c") <= high)
         )
-        .withColumn("_low_rank", F.floor((F.col("_n") - 1) / 2))
-        .withColumn("_high_rank", F.floor(F.col("_n") / 2))
-        .withColumn("_hit", (F.col("_below") <= F.col("_low_rank")) & (F.col("_upto") > F.col("_high_rank")))
-    )
-    hit = ranks.select("_hit").scalar()
-    before = F.when(hit, ranks.select("_below").scalar()).otherwise(F.lit(0))
-    counted = values.filter(~hit | v.between(low, high)).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = counted.withColumn("_last", before + F.sum("_c").over(Window.orderBy("_v")) - 1)
-
-    def at(rank: str) -> Column:
-        position = ranks.select(rank).scalar()
-        return F.max(F.when(position.between(F.col("_last") - F.col("_c") + 1, F.col("_last")), v)).cast("double")
+        pair = middle.agg(F.min(c).cast("double").alias("first"), F.max(c).cast("double").alias("second")).first()
+        return (pair["first"] + pair["second"]) / 2
 
-    return ranked.agg(((at("_low_rank") + at("_high_rank")) / 2).alias(f"median_{value}"))
+    return {c: median(c) if c in found else None for c in columns}

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the highest ``version``, then the highest ``ties``; NULL versions lose.
+    """One row per key: the highest ``version``, then the highest ``ties``; NULLs lose.
 
-    Remaining columns complete the order so that a re-run picks the same row. ``row_number = 1`` is
-    pruned per map task before the shuffle, so many copies of one key never meet in one task.
+    Only keys, version and ties are sorted on, so columns a caller does not use are still pruned at
+    the scan. ``row_number = 1`` is pruned per map task before the shuffle, so many copies of one key
+    never meet in one task.
     """
     ordered = [version, *[c for c in ties if c in df.columns]]
-    ordered += [c for c in df.columns if c not in ordered and c not in keys]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ordered])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
@@ -22,17 +22,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str, ties: Seque
 def first_and_latest(df: DataFrame, key: str, version: str, first: Sequence[str]) -> DataFrame:
     """One row per non-NULL key: columns ``first`` from the lowest version, the others from the highest.
 
+    Ties take the highest (lowest) remaining values. All columns travel through the aggregation, so
+    select the wanted ones before calling.
+
     Both ends come from one aggregation (combined map-side), so the versions are shuffled once and
     no self join is needed.
     """
     rest = [c for c in df.columns if c != key and c not in first and c != version]
     late_version = F.coalesce(F.col(version), F.lit(2147483647))
-    newest = F.max_by(F.struct(version, *rest), F.struct(version, *rest, *first))
-    oldest = F.min_by(F.struct(*first), F.struct(late_version, *first))
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(newest.alias("_new"), oldest.alias("_old"))
+        .agg(F.max(F.struct(version, *rest)).alias("_new"), F.min(F.struct(late_version.alias("_v"), *first)).alias("_old"))
         .select(key, *[F.col(f"_old.{c}") for c in first], *[F.col(f"_new.{c}") for c in [*rest, version]])
     )
 

@@ -177,11 +177,11 @@ def _with_plan(facts: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def latest_invoices(stg: DataFrame) -> DataFrame:
-    return latest_per_key(stg, ["invoice_id"], "batch_id", [ROW_ORDER, "amount"]).drop(ROW_ORDER)
+    return latest_per_key(stg, ["invoice_id"], "batch_id", [ROW_ORDER, "amount", "status", "invoice_date"]).drop(ROW_ORDER)
 
 
 def latest_payments(stg: DataFrame) -> DataFrame:
-    return latest_per_key(stg, ["payment_id"], "batch_id", [ROW_ORDER, "amount"]).drop(ROW_ORDER)
+    return latest_per_key(stg, ["payment_id"], "batch_id", [ROW_ORDER, "amount", "status", "payment_date"]).drop(ROW_ORDER)
 
 
 def latest_usage(stg: DataFrame) -> DataFrame:
@@ -196,6 +196,25 @@ def latest_tickets(stg: DataFrame) -> DataFrame:
     return first_and_latest(stg.drop(ROW_ORDER), "ticket_id", "batch_id", ["created_date"])
 
 
+# What signals and summaries need of a ticket; the long texts stay behind at the scan.
+TICKET_STATE = [
+    "ticket_id", "customer_id", "category", "priority", "created_date", "resolved_date",
+    "resolution_hours", "satisfaction_score", "batch_id",
+]
+
+
+def ticket_states(stg: DataFrame) -> DataFrame:
+    """Latest tickets without their texts, with open, resolved and urgent flags."""
+    solved = F.col("resolved_date").isNotNull()
+    return latest_tickets(stg.select(*TICKET_STATE)).withColumns(
+        {"is_resolved": solved, "is_open": ~solved, "is_high_priority": _urgent()}
+    )
+
+
+def _urgent() -> Column:
+    return F.lower("priority").isin("critical", "high")
+
+
 def invoice_context(stg: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """Latest invoices with subscription and plan, without customer columns (for other facts)."""
     found = enrich(
@@ -238,8 +257,11 @@ def fct_payments(stg: DataFrame, customers: DataFrame, invoices: DataFrame) -> D
     )
 
 
-def usage_with_subscription(usage: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Each observation with the latest-started running subscription valid on its day."""
+def usage_with_subscription(usage: DataFrame, subscriptions: DataFrame, stg: DataFrame | None = None) -> DataFrame:
+    """Each observation with the latest-started running subscription valid on its day.
+
+    ``stg`` is the staging table ``usage`` was taken from; reading its days saves a deduplication.
+    """
     return valid_at_join(
         usage,
         subscriptions.filter(F.col("status").isin("active", "suspended")),
@@ -249,11 +271,12 @@ def usage_with_subscription(usage: DataFrame, subscriptions: DataFrame) -> DataF
         end="end_date_resolved",
         rank=["start_date", "subscription_id"],
         carry=["subscription_id", "plan_id", "billing_cycle"],
+        days_of=stg,
     )
 
 
 def fct_usage_events(stg: DataFrame, customers: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    df = _with_plan(usage_with_subscription(latest_usage(stg), subscriptions), plans)
+    df = _with_plan(usage_with_subscription(latest_usage(stg), subscriptions, stg), plans)
     return _with_customer(df, customers).select(
         "customer_id", "event_date", "metric_name", "quantity", "unit",
         *CUSTOMER_CONTEXT, "customer_status", "subscription_id", "plan_id", "plan_name", "plan_tier", "billing_cycle",
@@ -271,7 +294,7 @@ def fct_support_tickets(stg: DataFrame, customers: DataFrame) -> DataFrame:
         "created_date", "resolved_date", "resolution_hours", "satisfaction_score", "description",
         resolved.isNotNull().alias("is_resolved"),
         resolved.isNull().alias("is_open"),
-        F.lower("priority").isin("critical", "high").alias("is_high_priority"),
+        _urgent().alias("is_high_priority"),
         (F.col("customer_id").isNull() | F.col("company_name").isNull()).alias("dq_unresolved_customer"),
         (resolved.isNotNull() & (resolved < created)).alias("dq_resolved_before_created"),
         "batch_id",

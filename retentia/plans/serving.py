@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from retentia.functions.calendar import month_label, month_start
 from retentia.functions.finance import exact_avg, gained, lost, round_half_up
 from retentia.operators.access import Scope, date_between, one_of, only_true, ordered, row_scope, summary_scope
-from retentia.operators.totals import exact_median
+from retentia.operators.totals import exact_medians
 from retentia.params import Params
 from retentia.plans.core import enrich
 
@@ -358,9 +358,13 @@ def feature_breadth_by_month(usage: DataFrame, scope: Scope = Scope(), p: Params
 
 
 def engagement_quadrant(detail: DataFrame, p: Params = Params()) -> DataFrame:
-    """Customers placed against the medians of revenue and usage; the medians are scalar subqueries."""
+    """Customers placed against the medians of revenue and usage.
+
+    ``detail`` is read once per step of the median search; pass a stored table.
+    """
     events = f"total_events_{len(p.months)}m"
-    mid_mrr, mid_events = exact_median(detail, "current_mrr").scalar(), exact_median(detail, events).scalar()
+    medians = exact_medians(detail, ["current_mrr", events])
+    mid_mrr, mid_events = F.lit(medians["current_mrr"]), F.lit(medians[events])
     rich, busy = F.col("current_mrr") >= mid_mrr, F.col(events) >= mid_events
     place = (
         F.when(rich & busy, "high_mrr_high_usage")

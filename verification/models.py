@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from retentia import Params, configure
 from retentia.plans import core, health, revenue, signals, staging, support
+from retentia.sources.store import spread
 from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
 BASE_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
+FACT_TABLES = ["orders", "lineitem", "events"]
 
 # The three exports of each ticket, spelled as a generator on the Spark side.
 _SPARK_SPELLING = (
@@ -24,10 +27,23 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = PARAMS, bindings: dict[str, str] = BINDINGS):
         self.spark, self.dir, self.p, self.bindings = configure(spark), sf_dir.rstrip("/"), params, bindings
 
+        self._base: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
+
+    def base(self, table: str) -> DataFrame:
+        if table not in self._base:
+            stored = self.spark.read.parquet(f"{self.dir}/{table}.parquet")
+            self._base[table] = spread(stored) if table in FACT_TABLES else stored
+        return self._base[table]
+
     def raw(self, name: str) -> DataFrame:
-        for t in BASE_TABLES:
-            self.spark.read.parquet(f"{self.dir}/{t}.parquet").createOrReplaceTempView(t)
-        return self.spark.sql(self.bindings[name].replace(*_SPARK_SPELLING))
+        if name not in self._raw:
+            text = self.bindings[name].replace(*_SPARK_SPELLING)
+            for t in BASE_TABLES:
+                if re.search(rf"\b{t}\b", text):
+                    self.base(t).createOrReplaceTempView(t)
+            self._raw[name] = self.spark.sql(text)
+        return self._raw[name]
 
     @cached_property
     def country_region(self) -> DataFrame:
@@ -134,9 +150,12 @@ class Models:
 
     @cached_property
     def ticket_states(self) -> DataFrame:
-        """Latest tickets with open/resolved flags, without customer columns."""
-        solved = F.col("resolved_date").isNotNull()
-        return self.latest_tickets.withColumns({"is_resolved": solved, "is_open": ~solved})
+        return core.ticket_states(self.stg_support_tickets)
+
+    @cached_property
+    def tickets_by_region(self) -> DataFrame:
+        """Ticket states with the customer's region, for reports that show no single tickets."""
+        return core.enrich(self.ticket_states, self.dim_customers, "customer_id", {"region": "region"})
 
     @cached_property
     def fct_adjustments(self) -> DataFrame:
@@ -157,7 +176,7 @@ class Models:
 
     @cached_property
     def ticket_engagement(self) -> DataFrame:
-        return signals.ticket_engagement(self.latest_tickets, self.latest_usage, self.p)
+        return signals.ticket_engagement(self.ticket_states, self.latest_usage, self.p)
 
     @cached_property
     def support_signals(self) -> DataFrame:
@@ -191,4 +210,15 @@ class Models:
 
     @cached_property
     def mart_support_summary(self) -> DataFrame:
-        return support.mart_support_summary(self.fct_support_tickets)
+        return support.mart_support_summary(self.tickets_by_region)
+
+
+_SHARED: dict[tuple[str, str], Models] = {}
+
+
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """The models over one folder of tables, defined once per application; only plans are kept, no data."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SHARED:
+        _SHARED[key] = Models(spark, sf_dir)
+    return _SHARED[key]

@@ -38,7 +38,7 @@ def _(m):
     oracle("SELECT customer_id, event_date, metric_name, quantity, subscription_id, plan_id, billing_cycle FROM usage_subscription", DOUBLE="quantity"),
 )
 def _(m):
-    return core.usage_with_subscription(m.latest_usage, m.subscriptions).select(
+    return core.usage_with_subscription(m.latest_usage, m.subscriptions, m.stg_usage_events).select(
         "customer_id", "event_date", "metric_name", "quantity", "subscription_id", "plan_id", "billing_cycle"
     )
 
@@ -191,12 +191,13 @@ def _(m):
 
 @query(
     "median_split",
-    oracle("""SELECT (SELECT quantile_cont(CAST(mrr AS DOUBLE), 0.5) FROM stg_subscriptions) AS median_mrr,
-              (SELECT quantile_cont(CAST(quantity AS DOUBLE), 0.5) FROM latest_usage) AS median_quantity"""),
+    oracle("""SELECT count(quantity) AS observations, quantile_cont(CAST(quantity AS DOUBLE), 0.5) AS median_quantity,
+              (SELECT quantile_cont(CAST(mrr AS DOUBLE), 0.5) FROM stg_subscriptions) AS median_mrr FROM latest_usage"""),
 )
 def _(m):
-    mid_mrr = totals.exact_median(m.stg_subscriptions, "mrr")
-    return mid_mrr.withColumn("median_quantity", totals.exact_median(m.latest_usage, "quantity").scalar())
+    mrr, usage = m.stg_subscriptions, m.latest_usage
+    mid_mrr, mid_quantity = totals.exact_medians(mrr, ["mrr"])["mrr"], totals.exact_medians(usage, ["quantity"])["quantity"]
+    return usage.agg(F.count("quantity").alias("observations"), F.lit(mid_mrr).alias("median_mrr"), F.lit(mid_quantity).alias("median_quantity"))
 
 
 @query(
@@ -260,7 +261,7 @@ def _(m):
 
 @query("pick_one_match", oracle("SELECT DISTINCT customer_id, event_date, subscription_id FROM usage_subscription"))
 def _(m):
-    picked = core.usage_with_subscription(m.latest_usage, m.subscriptions)
+    picked = core.usage_with_subscription(m.latest_usage, m.subscriptions, m.stg_usage_events)
     return picked.select("customer_id", "event_date", "subscription_id").distinct()
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
-from verification.models import Models
+from verification.models import Models, models_for
 
 Build = Callable[[Models], DataFrame]
 
@@ -43,7 +43,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_types(REGISTRY[name].build(Models(spark, sf_dir)))
+    return plain_types(REGISTRY[name].build(models_for(spark, sf_dir)))
 
 
 def load_all() -> dict[str, Query]:

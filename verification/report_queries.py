@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from retentia.plans import quality, serving
+from retentia.session import scratch_dir
+from retentia.sources.store import materialise
 from verification.operator_queries import BREAKDOWN, BREADTH, DETAIL, LEADERS, MANAGER, null_rate_sql
 from verification.core_queries import WATERFALL
 from verification.oracle import average, month, oracle, rounded
@@ -198,7 +200,7 @@ _BY_CATEGORY = f"""SELECT category, region, count(*) AS total_tickets, {rounded(
 
 @query("support_by_category", oracle(_BY_CATEGORY))
 def _(m):
-    return serving.in_report_order("support_by_category", serving.support_by_category(m.fct_support_tickets))
+    return serving.in_report_order("support_by_category", serving.support_by_category(m.tickets_by_region))
 
 
 @query(
@@ -208,7 +210,7 @@ def _(m):
                FROM ({_BY_CATEGORY}) AS regional GROUP BY category""", BIGINT="total_tickets"),
 )
 def _(m):
-    return serving.category_rollup(serving.support_by_category(m.fct_support_tickets))
+    return serving.category_rollup(serving.support_by_category(m.tickets_by_region))
 
 
 # --- product ----------------------------------------------------------------------------------
@@ -273,7 +275,8 @@ def _(m):
                        quantile_cont(CAST(total_events_3m AS DOUBLE), 0.5) OVER () AS median_total_events_3m FROM ({DETAIL}) AS detail) AS placed"""),
 )
 def _(m):
-    return serving.engagement_quadrant(serving.usage_customer_detail(m.usage_stats, m.health, p=m.p), m.p)
+    detail = serving.usage_customer_detail(m.usage_stats, m.health, p=m.p)
+    return serving.engagement_quadrant(materialise(detail, scratch_dir(m.spark, "detail")), m.p)
 
 
 @query(
