@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -68,11 +69,24 @@ class RawStore:
                 store = self.dimension(table)
                 store.write(apply_corrections(store.read(), corrections, entity))
             elif table in FACTS and self.has_fact(table):
-                self._rewrite(table, apply_corrections(self.fact(table), corrections, entity))
-
-    def _rewrite(self, table: str, corrected: DataFrame) -> None:
-        """Replace a fact table by a corrected copy; the copy is written out before the original is touched."""
-        staged = f"{self.path}/staged/{table}"
+                self._correct_fact(table, corrections, entity)
+
+    def _correct_fact(self, table: str, corrections: DataFrame, entity: str) -> None:
+        """Rewrite the batches that hold corrected ids, and only those.
+
+        The corrected copy is written out before the originals are touched; patches set fixed values, so
+        a run that is cut off can simply be repeated.
+        """
+        _, key = CORRECTION_TARGETS[entity]
+        facts = self.fact(table)
+        if key not in facts.columns:
+            return
+        ids = known_corrections(corrections).filter(F.col("entity_type") == entity).select(F.col("entity_id").alias(key))
+        touched = [r[0] for r in facts.join(ids, key, "left_semi").select(BATCH).distinct().collect()]  # one per batch
+        if not touched:
+            return
+        corrected = apply_corrections(facts.filter(F.col(BATCH).isin(touched)), corrections, entity)
+        staged = f"{self.path}/staged/{table}-{uuid.uuid4().hex}"
         corrected.write.mode("overwrite").partitionBy(BATCH).parquet(staged)
         copy = read_fact(self.spark, staged)
         copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.fact_path(table))

@@ -84,28 +84,38 @@ def amendment_breakdown(amendments: DataFrame, scope: Scope = Scope(), p: Params
     )
 
 
+def _is_opening(p: Params) -> Column:
+    return F.col("mrr_month") == F.lit(p.months[0])
+
+
+def _of_starting(amount: Column, digits: int) -> Column:
+    """Percent of the starting revenue; NULL where there is none, as in the opening month."""
+    start = F.when(F.col("starting_mrr") > 0, F.col("starting_mrr").cast("double"))
+    return round_half_up(amount.cast("double") / start * 100, digits)
+
+
+def _retained() -> Column:
+    return F.col("ending_mrr") - F.col("new_mrr")
+
+
 def ending_based_nrr(waterfall: DataFrame, p: Params = Params()) -> DataFrame:
     """Retention from ending revenue; the first month is an opening row without movements or ratios."""
-    opening = F.col("mrr_month") == F.lit(p.months[0])
-    zero = F.lit(Decimal("0.00"))
+    opening, zero = _is_opening(p), F.lit(Decimal("0.00"))
     moves = ["starting_mrr", "expansion_mrr", "contraction_mrr", "churn_mrr"]
     df = waterfall.select(
         "mrr_month",
+        "region",
         opening.alias("is_opening"),
         *[F.when(opening, zero).otherwise(F.col(c)).alias(c) for c in moves],
         F.when(opening, F.col("ending_mrr")).otherwise(F.col("new_mrr")).alias("new_mrr"),
         "ending_mrr",
     )
-    start = F.when(F.col("starting_mrr") > 0, F.col("starting_mrr").cast("double"))
-
-    def percent(amount: Column, digits: int) -> Column:
-        return round_half_up(amount.cast("double") / start * 100, digits)
-
+    kept = F.col("starting_mrr") - F.col("contraction_mrr") - F.col("churn_mrr")
     return df.withColumns(
         {
-            "nrr_pct": percent(F.col("ending_mrr") - F.col("new_mrr"), 1),
-            "grr_pct": percent(F.col("starting_mrr") - F.col("contraction_mrr") - F.col("churn_mrr"), 1),
-            "churn_rate_pct": percent(F.col("churn_mrr"), 2),
+            "nrr_pct": _of_starting(_retained(), 1),
+            "grr_pct": _of_starting(kept, 1),
+            "churn_rate_pct": _of_starting(F.col("churn_mrr"), 2),
         }
     )
 
@@ -116,8 +126,7 @@ def timing_adjustment(waterfall: DataFrame, p: Params = Params()) -> DataFrame:
         (F.col(c) * sign for c, sign in (("new_mrr", 1), ("expansion_mrr", 1), ("contraction_mrr", -1), ("churn_mrr", -1))),
         F.col("starting_mrr"),
     )
-    opening = F.col("mrr_month") == F.lit(p.months[0])
-    gap = F.when(opening, F.lit(Decimal("0.00"))).otherwise(F.col("ending_mrr") - balance).cast("decimal(28,2)")
+    gap = F.when(_is_opening(p), F.lit(Decimal("0.00"))).otherwise(F.col("ending_mrr") - balance).cast("decimal(28,2)")
     return waterfall.select("mrr_month", "region", gap.alias("timing_adj")).withColumns(
         {"in_chart": F.abs("timing_adj") > 1, "in_table": F.abs("timing_adj") > 10}
     )
@@ -153,8 +162,7 @@ def waterfall_rows(waterfall: DataFrame) -> DataFrame:
 
 def month_over_month_deltas(waterfall: DataFrame, p: Params = Params()) -> DataFrame:
     """Change of the headline figures against the previous month of the same region."""
-    ratios = ending_based_nrr(waterfall, p).select("mrr_month", F.col("nrr_pct").alias("ending_nrr_pct"))
-    df = waterfall.join(F.broadcast(ratios), "mrr_month")  # one row per month of the window
+    df = waterfall.withColumn("ending_nrr_pct", F.when(~_is_opening(p), _of_starting(_retained(), 1)))
     by_month = Window.partitionBy("region").orderBy(F.col("mrr_month").asc_nulls_last())
 
     def change(c: str) -> Column:
@@ -195,7 +203,7 @@ def amendment_month_summary(waterfall: DataFrame, breakdown: DataFrame, p: Param
     amendments themselves.
     """
     tops = leading_types(breakdown).withColumnRenamed("month", "_month")
-    opening = F.col("mrr_month") == F.lit(p.months[0])
+    opening = _is_opening(p)
     df = waterfall.join(tops, F.col("mrr_month") == F.col("_month"), "left")
     up = F.when(opening, F.col("gained")).otherwise(F.col("expansion_mrr")).cast("decimal(28,2)")
     down = F.when(opening, F.col("lost")).otherwise(F.col("contraction_mrr")).cast("decimal(28,2)")

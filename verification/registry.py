@@ -43,7 +43,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_types(REGISTRY[name].build(models_for(spark, sf_dir)))
+    return plain_types(load_all()[name].build(models_for(spark, sf_dir)))
 
 
 def load_all() -> dict[str, Query]:

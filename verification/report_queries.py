@@ -57,7 +57,7 @@ _OPENED = f"""SELECT mrr_month, region, {_FIRST} AS is_opening, churned_customer
 
 @query(
     "ending_based_nrr",
-    oracle(f"""SELECT * EXCLUDE (region, churned_customers), {_percent("ending_mrr - new_mrr", 1)} AS nrr_pct,
+    oracle(f"""SELECT * EXCLUDE (churned_customers), {_percent("ending_mrr - new_mrr", 1)} AS nrr_pct,
                {_percent("starting_mrr - contraction_mrr - churn_mrr", 1)} AS grr_pct, {_percent("churn_mrr", 2)} AS churn_rate_pct
                FROM ({_OPENED}) AS opened""", DOUBLE=WATERFALL),
 )
