@@ -109,16 +109,26 @@ def revenue_impact(adjustment_type: Column, amount: Column) -> Column:
 
 def as_int(raw: Column) -> Column:
     """Number text to INT, rounding fractions; NULL when it is no number or does not fit."""
-    return F.round(raw.try_cast("decimal(38,6)")).try_cast("int")
+    return _whole_number(raw, "int")
 
 
 def as_long(raw: Column) -> Column:
-    return F.round(raw.try_cast("decimal(38,6)")).try_cast("bigint")
+    return _whole_number(raw, "bigint")
+
+
+def _whole_number(raw: Column, kind: str) -> Column:
+    """Plain integers take the direct cast, other numbers the detour over decimals."""
+    return F.coalesce(raw.try_cast(kind), F.round(raw.try_cast("decimal(38,6)")).try_cast(kind))
+
+
+def _has_day(raw: Column) -> Column:
+    """Two dashes at least: a year or a month alone is not taken for its first day."""
+    return F.substring_index(raw, "-", 2) != raw
 
 
 def as_date(raw: Column) -> Column:
     """ISO date text to DATE; text that is not a full date gives NULL."""
-    return F.when(F.trim(raw).rlike(r"^\d{4,}-\d{1,2}-\d{1,2}"), raw.try_cast("date"))
+    return F.when(_has_day(raw), raw.try_cast("date"))
 
 
 def as_us_date(raw: Column) -> Column:
@@ -128,7 +138,7 @@ def as_us_date(raw: Column) -> Column:
 
 def as_utc_date(raw: Column) -> Column:
     """ISO timestamp text with an offset to the UTC calendar day (needs a UTC session)."""
-    return F.to_date(F.when(F.trim(raw).rlike(r"^\d{4,}-\d{1,2}-\d{1,2}"), raw.try_cast("timestamp")))
+    return F.to_date(F.when(_has_day(raw), raw.try_cast("timestamp")))
 
 
 def id_format(customer_id: Column) -> Column:

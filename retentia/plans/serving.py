@@ -133,8 +133,8 @@ def timing_adjustment(waterfall: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def latest_month_row(df: DataFrame, month: str = "mrr_month", condition: str = "starting_mrr > 0", rows: int = 1) -> DataFrame:
-    """The last (and earlier) months of a one-row-per-month summary; ``recency`` 1 is the latest."""
-    newest_first = Window.orderBy(F.col(month).desc_nulls_last())
+    """The last (and earlier) months of each region of a monthly summary; ``recency`` 1 is the latest."""
+    newest_first = Window.partitionBy("region").orderBy(F.col(month).desc_nulls_last())
     return df.filter(condition).withColumn("recency", F.row_number().over(newest_first)).filter(F.col("recency") <= rows)
 
 

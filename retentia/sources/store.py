@@ -89,11 +89,11 @@ def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a stored table that has fewer splits than the session has cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute a stored table that has fewer splits than the session has cores, by hash of ``key``.
 
     A table in one small file would otherwise be parsed by one task. Tables with enough splits, which
     is every large one, are returned as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df

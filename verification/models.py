@@ -14,7 +14,7 @@ from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
 BASE_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
-FACT_TABLES = ["orders", "lineitem", "events"]
+FACT_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 
 # The three exports of each ticket, spelled as a generator on the Spark side.
 _SPARK_SPELLING = (
@@ -33,7 +33,7 @@ class Models:
     def base(self, table: str) -> DataFrame:
         if table not in self._base:
             stored = self.spark.read.parquet(f"{self.dir}/{table}.parquet")
-            self._base[table] = spread(stored) if table in FACT_TABLES else stored
+            self._base[table] = spread(stored, FACT_KEYS[table]) if table in FACT_KEYS else stored
         return self._base[table]
 
     def raw(self, name: str) -> DataFrame:
