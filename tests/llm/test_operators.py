@@ -1,0 +1,524 @@
+"""Each operator against a brute-force version on small documents, and on awkward ones."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from retentia import configure
+from retentia.llm import cotrain, exact_dedup, language, mixing, packing, pii, rules, simhash, substrings, tokens
+from retentia.llm.components import components
+from retentia.llm.queries import tokenizer
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, copy string, fp int, digest string, `a.b` int"
+WORDS = "the of and der die und le la les el los que thing haus maison casa ö ß é ñ x1 a-b".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", ".", "\n", "  "]) for _ in range(n))
+
+
+def rows_of(texts, lang="en", source="s"):
+    return [(i, t, lang, source, None if t is None else len(t), "r", "c", 1, "d", 2) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def session(spark):
+    return configure(spark)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    base = [prose(i, 5 + 23 * i) for i in range(12)]
+    near = base[9].replace("thing", "thong", 1)
+    cut = base[10][:400] + " NEW " + base[11][100:700]
+    return [None, "", " \t\n", "!!! 123", *base, base[3], base[3].replace(" ", "\t "), base[3] + "   ", near, cut, "Wher. " * 300, "x" * 5000, "é" * 300, prose(99, 6000)]
+
+
+def stored(session, rows, tmp_path_factory, parts=3):
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    session.createDataFrame(rows, SCHEMA).repartition(parts).write.parquet(path)
+    return session.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def docs(session, texts, tmp_path_factory):
+    return stored(session, rows_of(texts), tmp_path_factory)
+
+
+@pytest.fixture(scope="module")
+def awkward(session, texts, tmp_path_factory):
+    """Repeated rows, null ids, languages and sources, besides the texts above."""
+    rows = rows_of(texts)
+    rows += [(*rows[7],), (None, texts[7], None, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None)]
+    return stored(session, rows, tmp_path_factory)
+
+
+@pytest.fixture(scope="module")
+def nothing(session, tmp_path_factory):
+    return stored(session, [], tmp_path_factory, 1)
+
+
+@pytest.fixture(scope="module")
+def labels(session):
+    return session.createDataFrame([(i, i % 2, 0) for i in range(0, 24, 2)] + [(1, 1, 0), (1, None, 0), (3, 0, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
+
+
+def operators(labels):
+    return {
+        "cotrain": lambda d: cotrain.scored(d, cotrain.train(d, labels)),
+        "mixing": lambda d: mixing.replicated(d),
+        "language": lambda d: language.identify(d, language.train(d)),
+        "tokens": lambda d: tokens.token_counts(d, vocabulary()),
+        "exact": exact_dedup.exact_duplicates,
+        "simhash": simhash.simhash_groups,
+        "rules": lambda d: rules.judged(d, least=5),
+        "pii": lambda d: pii.digest(pii.personal_data(d)),
+        "substrings": substrings.without_repeats,
+        "packing": lambda d: packing.pack(d, tokenizer()),
+    }
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+ONE_EACH = ("cotrain", "language", "tokens", "exact", "simhash", "rules", "pii", "substrings")
+
+
+@pytest.mark.parametrize("name", [*ONE_EACH, "mixing", "packing"])
+def test_awkward_and_empty(name, awkward, nothing, labels):
+    run = operators(labels)[name]
+    n = awkward.count()
+    found = run(awkward).collect()
+    if name in ONE_EACH:
+        assert len(found) == n
+        assert sum(r.doc_id is None for r in found) == 2
+    empty = run(nothing)
+    assert empty.columns == run(awkward).columns
+    assert empty.count() == 0
+
+
+def test_hash_of_all_columns_stays(awkward):
+    assert mixing.replicated(awkward).columns == [*awkward.columns, "_copy"]
+    assert exact_dedup.drop_exact_duplicates(awkward).columns == awkward.columns
+    assert simhash.drop_near_duplicates(awkward).columns == awkward.columns
+    assert language.keep_identified(awkward).columns == awkward.columns
+
+
+# --- exact duplicates ---
+
+
+def test_cuckoo_index():
+    rng = random.Random(1)
+    index, live = exact_dedup.CuckooIndex(2), {}
+    for step in range(6000):
+        key = hashlib.sha256(str(rng.randrange(900)).encode()).digest()
+        if key in live:
+            assert index.values[index.find(key)] == live[key]
+            if step % 3:
+                assert index.delete(key) and not index.delete(key)
+                del live[key]
+        else:
+            assert index.find(key) < 0
+            index.insert(key, step)
+            live[key] = step
+        assert index.size == len(live)
+    assert dict(index.items()) == live
+
+
+@pytest.mark.parametrize("live", [2, 100_000])
+def test_exact(docs, texts, live):
+    groups = defaultdict(list)
+    for i, t in enumerate(texts):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i))
+    expected = {i: (min(g)[1], len(g), min(g)[1] == i, hashlib.sha256(k.encode()).hexdigest()) for k, g in groups.items() for _, i in g}
+    found = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_duplicates(docs, live).collect()}
+    assert found == expected
+
+
+def test_exact_keeps_one_of_repeated_rows(awkward):
+    kept = exact_dedup.exact_duplicates(awkward).groupBy("text_sha256").agg(F.count_if("kept").alias("n")).collect()
+    assert {r.n for r in kept} == {1}
+    assert exact_dedup.drop_exact_duplicates(awkward).count() == len(kept)
+
+
+# --- SimHash ---
+
+
+def brute_fingerprint(text):
+    from xxhash import xxh64_intdigest
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    h = [xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash(docs, texts):
+    fps = [brute_fingerprint(t) for t in texts]
+    component = list(range(len(texts)))
+    for _ in fps:
+        for i, j in product(range(len(fps)), repeat=2):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                component[i] = component[j] = min(component[i], component[j])
+    found = {r.doc_id: (r.fp % 2**64, r.component_id) for r in simhash.simhash_groups(docs).collect()}
+    assert found == {i: (f, component[i]) for i, f in enumerate(fps)}
+
+
+def test_fingerprint_in_chunks():
+    text = prose(4, 500).encode()
+    assert simhash.fingerprint(text, 4) == simhash.fingerprint(text, 4, chunk=7) == brute_fingerprint(text.decode())
+    assert simhash.fingerprint(b"one two", 4) == brute_fingerprint("one two")
+
+
+@pytest.mark.parametrize("tile", [20, 8192])
+def test_links_of_a_large_cluster(session, tile):
+    """Chains and clusters of near fingerprints: components as by brute force, with and without tiles."""
+    rng = random.Random(2)
+    fps = {rng.getrandbits(64) for _ in range(200)}
+    hub = rng.getrandbits(64)
+    for _ in range(150):
+        fps.add(hub ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 4))))
+    chain = rng.getrandbits(64)
+    for i in range(12):
+        chain ^= 15 << 4 * i
+        fps.add(chain)
+    fps = sorted(fps)
+    label = {f: f for f in fps}
+    for _ in range(20):
+        for a in fps:
+            label[a] = min(label[b] for b in fps if (a ^ b).bit_count() <= 4)
+    signed = [f - 2**64 if f >= 2**63 else f for f in fps]
+    df = session.createDataFrame([(f,) for f in signed], "fp long")
+    links = simhash.fingerprint_links(df, 4, 7, tile)
+    pairs = links.collect()
+    assert all(((r.a ^ r.b) % 2**64).bit_count() <= 4 or tile for r in pairs)
+    roots = {r.node % 2**64: r.root for r in components(links, "a", "b").collect()}
+    by_root, by_label = defaultdict(set), defaultdict(set)
+    for f in fps:
+        by_root[roots.get(f, f"alone {f}")].add(f)
+        by_label[label[f]].add(f)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, by_label.values()))
+
+
+def test_components(session):
+    chain = [(i, i + 1) for i in range(0, 60)]
+    star = [(100, i) for i in range(101, 160)]
+    df = session.createDataFrame([*chain, *star, (7, 7), (200, 199), (199, 200)], "a long, b long")
+    found = {r.node: r.root for r in components(df, "a", "b").collect()}
+    assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 199: 199, 200: 199}
+
+
+# --- mixing ---
+
+
+def test_mixing_rates(session, tmp_path_factory):
+    rows = [(i, "t", "en", "hot" if i < 4000 else "cold" if i < 4500 else None, 1, None, None, None, None, None) for i in range(5000)]
+    docs = stored(session, rows, tmp_path_factory)
+    found = mixing.replicated(docs, {"hot": 1.0, "cold": 3.0}, total=8000).groupBy("source").count().collect()
+    counts = {r.source: r["count"] for r in found}
+    assert set(counts) == {"hot", "cold"}
+    assert abs(counts["hot"] - 2000) < 5 * 2000**0.5 and abs(counts["cold"] - 6000) < 5 * 6000**0.5
+    copies = Counter(r.doc_id for r in mixing.replicated(docs, {"cold": 1.0}, total=20000).select("doc_id").collect())
+    n = np.array([copies[i] for i in range(4000, 4500)])
+    assert abs(n.mean() - 40) < 2 and 30 < n.var() < 52  # a mean of 40 takes three inversions
+    one = sorted(map(tuple, mixing.replicated(docs).select("doc_id", "_copy").collect()))
+    assert one == sorted(map(tuple, mixing.replicated(docs.repartition(7)).select("doc_id", "_copy").collect()))
+
+
+# --- language ---
+
+
+def test_language_learns_only_from_its_share(session, tmp_path_factory):
+    speech = {"en": "the cat and a dog with thing ", "de": "der hund und die katze nicht ", "fr": "le chien et la maison avec ", "es": "el perro y la casa con "}
+    rng, rows = random.Random(3), []
+    for i in range(240):
+        lang = ("en", "de", "fr", "es")[i % 4]
+        words = speech[lang].split()
+        kept = zlib.crc32(str(i).encode()) % 4 != 2
+        rows.append((i, " ".join(rng.choices(words, k=60)), lang if kept else "es", "s", 0, None, None, None, None, None))
+    docs = stored(session, rows, tmp_path_factory)
+    found = {r.doc_id: r for r in language.identify(docs, language.train(docs)).collect()}
+    assert all(found[i].lang_pred == ("en", "de", "fr", "es")[i % 4] and 0.5 < found[i].score <= 1 for i in range(240))
+
+
+def test_language_of_nothing(docs, texts, nothing):
+    model = language.LanguageModel.fit(np.stack([language.features(b"the of"), language.features(b"der die")]), ["en", "de"])
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    for i, t in enumerate(texts):
+        assert (found[i].lang_pred == "und") == (not re.search(r"[^\W\d_]", t or ""))
+    unknown = language.identify(docs, language.LanguageModel()).select("lang_pred", "score").distinct().collect()
+    assert [tuple(r) for r in unknown] == [("und", 0.0)]
+
+
+def test_features_in_chunks():
+    text = prose(8, 400).encode()
+    assert np.allclose(language.features(text), language.features(text, chunk=100))
+
+
+# --- token counts ---
+
+
+def test_tokens(docs, texts):
+    scores = tokens.piece_scores(vocabulary())
+    worst = min(scores.values()) - 10
+
+    def best(word):
+        table = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            n = len(word[end - 1].encode())
+            options = [(table[end - 1][0] + n * worst, table[end - 1][1] - n)]
+            options += [(table[s][0] + scores[word[s:end]], table[s][1] - 1) for s in range(max(0, end - 16), end) if word[s:end] in scores]
+            table.append(max(options))
+        return -table[-1][1]
+
+    expected = {i: (len((t or "").split()), sum(best("▁" + w) for w in (t or "").split())) for i, t in enumerate(texts)}
+    assert max(map(len, scores)) <= 16
+    for nodes in (30, 400_000):
+        assert {r.doc_id: (r.n_words, r.n_tokens) for r in tokens.token_counts(docs, vocabulary(), nodes).collect()} == expected
+
+
+def test_a_shared_prefix_is_scored_once(monkeypatch):
+    trie = tokens.SharedTrie({"a": -1.0, "b": -1.0, "ab": -1.5, "c": -3.0})
+    calls = []
+    score = trie._score
+    monkeypatch.setattr(trie, "_score", lambda *x: calls.append(x[:2]) or score(*x))
+    assert [trie.count(w) for w in ("abab", "abac", "abab", "ab")] == [2, 3, 2, 1]
+    assert len(calls) == 5
+
+
+# --- quality rules ---
+
+
+def test_counts(texts):
+    for t in texts:
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        places = defaultdict(list)
+        for i in range(len(words) - 7):
+            places[tuple(words[i : i + 8])].append(i)
+        covered = {j for at in places.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+        symbols = len(re.findall(r"[#*$%&|<>]", t))
+        assert rules.counts(t.encode())[:5] == (len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered))
+
+
+def test_outliers_do_not_mask_each_other(session, tmp_path_factory):
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(rng.randrange(60, 300)))
+        if i % 5 == 0:
+            text = re.sub(" ", " ### $$$ ", text)
+        rows.append((i, text, "en", "a" if i % 3 else "b", 0, None, None, None, None, None))
+    found = rules.judged(stored(session, rows, tmp_path_factory)).collect()
+    assert all(r.kept == bool(r.doc_id % 5) for r in found)
+    assert not any(r.base_failed for r in found)
+
+
+def test_chi_square():
+    assert abs(rules.chi_square(0.95, 6) - 12.592) < 0.05 and abs(rules.chi_square(0.5, 6) - 5.348) < 0.05
+
+
+# --- personal data ---
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for number, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            right = {
+                "email": True,
+                "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else False,
+                "card": 12 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }
+            if right[kind]:
+                out.append((m.start(), number, m.end(), kind))
+    return sorted(out)
+
+
+def pii_texts():
+    rng = random.Random(11)
+    bits = ["a.b@c.d", "a@b.c_d@e.f", "x@y", "1.2.3.4", "1.2.3.4.5.6.7.8.9", "256.1.1.1", "0001.02.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112",
+            "+1 (456) 555-2186", "+49 30 1234567 ", "+1", "é", "𝒳", " ", "\n", "-", ".", "@", "7", "12", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432",
+            "DE88370400440532013000", "iban ", "word"]
+    out = ["".join(rng.choices(bits, k=rng.randrange(1, 40))) for _ in range(120)]
+    return [*out, "1 " * 30_000, "a" * 50_000 + "@", "+1" + "-" * 20_000, "5.5.5.5 " * 700, None, ""]
+
+
+def test_personal_data(session, tmp_path_factory):
+    texts = pii_texts()
+    docs = stored(session, rows_of(texts), tmp_path_factory)
+    found = pii.digest(pii.personal_data(docs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+    for r in found.collect():
+        spans = base_spans(texts[r.doc_id] or "")
+        written = ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[3] == k for x in spans) for k in BASE]
+        assert ",".join(x for x in r.spans.split(",") if not x.startswith("iban")) == written
+
+
+def test_account_numbers_and_context(session, tmp_path_factory):
+    texts = ["IBAN DE89 3704 0044 0532 0130 00 ok", "x GB82WEST12345698765432.", "DE88370400440532013000", "serial token GB82WEST12345698765432"]
+    docs = stored(session, rows_of(texts), tmp_path_factory)
+    found = {r.doc_id: (r.spans, r.scores) for r in pii.digest(pii.personal_data(docs)).collect()}
+    assert found[0] == ("iban:5:32", "1.0") and found[1] == ("iban:2:24", "0.8")
+    assert found[2] == ("", "") and found[3] == ("iban:13:35", "0.6")
+
+
+# --- repeated substrings ---
+
+
+def brute_removed(texts, length):
+    places = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = [False] * len(t)
+        for i in range(len(t) - length + 1):
+            if places[t[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        out.append(gone)
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 1 << 14])
+def test_substrings(session, tmp_path_factory, texts, hot):
+    passage = prose(77, 60)
+    more = [prose(i, 30) + passage + prose(i + 50, 20) for i in range(100, 112)]
+    all_texts = [*texts, *more, passage * 3, "ab" * 400, "ab" * 130 + "c", "\0" * 500, prose(500, 40) + "\0" * 250, (prose(600, 12) + " ") * 2]
+    docs = stored(session, rows_of(all_texts), tmp_path_factory)
+    raw = [(t or "").encode() for t in all_texts]
+    expected = {}
+    for i, (t, gone) in enumerate(zip(raw, brute_removed(raw, 200))):
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        expected[i] = (len(t), sum(gone), sum(g and not (j and gone[j - 1]) for j, g in enumerate(gone)), kept)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in substrings.without_repeats(docs, 200, 1 << 12, hot).collect()}
+    assert found == expected
+
+
+def test_suffix_order():
+    rng = random.Random(6)
+    for _ in range(6):
+        body = bytes(rng.choices(b"ab", k=300)) + b"ab" * 200 + bytes(rng.choices(b"abc", k=200))
+        text = np.frombuffer(body + bytes(2 * substrings.PERIOD + 400), np.uint8)
+        order = np.concatenate(list(substrings.sorted_suffixes(text, np.arange(len(body)), 64)))
+        assert order.tolist() == sorted(range(len(body)), key=lambda i: body[i:])
+
+
+def test_anchors_are_shared_by_equal_windows():
+    rng = np.random.default_rng(9)
+    common = rng.integers(97, 100, 200, dtype=np.uint8)
+    for n in (0, 1, 57):
+        data = np.concatenate([rng.integers(97, 100, n, dtype=np.uint8), common, rng.integers(97, 100, 90, dtype=np.uint8)])
+        at, gram = substrings.anchors(data, 200)
+        inside = {(int(p) - n, int(g)) for p, g in zip(at, gram) if n <= p <= n + 168}
+        least, gram0 = substrings.anchors(common, 200)
+        assert (int(least[0]), int(gram0[0])) in inside
+
+
+# --- packing ---
+
+
+def test_packing(docs, texts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer())
+    plain.encode_special_tokens = True
+    found = packing.pack(docs, tokenizer(), capacity=256, grain=64, block=8, words=50).collect()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in found:
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    for i, t in enumerate(texts):
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
+        at = 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= 256
+
+
+def test_words_are_encoded_as_in_the_text():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer())
+    plain.encode_special_tokens = True
+    encode = packing.Encoder(tokenizer(), 40)
+    rng = random.Random(12)
+    bits = ["a", "don't", " ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "7", ".", "é", "<|endoftext|>", "'s", "\r\n", "日本", "🙂"]
+    for _ in range(400):
+        text = "".join(rng.choices(bits, k=rng.randrange(0, 14)))
+        assert encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
+def test_differencing_is_balanced():
+    rng = random.Random(13)
+    sizes = [rng.randrange(1, 257) for _ in range(640)]
+    windows = packing.windows(sizes, 1024)
+    assert sorted(i for w in windows for i in w) == list(range(640))
+    sums = [sum(sizes[i] for i in w) for w in windows]
+    assert max(sums) <= 1024 and max(sums) - min(sums) < 64
+    assert len(windows) <= -(-sum(sizes) // 1024) + 2
+    assert packing.windows([], 1024) == [] and packing.windows([1024], 1024) == [[0]]
+
+
+# --- co-training ---
+
+
+def test_cotraining_uses_both_views():
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 3000)
+    text = np.stack([y + rng.normal(0, 0.7, 3000), rng.normal(0, 1, 3000)], axis=1).astype(np.float32)
+    meta = np.stack([y + rng.normal(0, 0.9, 3000), rng.normal(0, 1, 3000)], axis=1).astype(np.float32)
+    known = np.where(np.arange(3000) < 90, y, -1)
+    model = cotrain.CoTrained.fit((text, meta), known)
+    p_text, p_meta, both = model.score(text[90:], meta[90:])
+    right = [float(((p >= 0.5) == y[90:]).mean()) for p in (p_text, p_meta, both)]
+    assert right[2] > max(right[:2]) and right[2] > 0.78
+
+
+def test_cotraining_of_documents(session, tmp_path_factory):
+    rng = random.Random(21)
+    texts = [" ".join(rng.choices(WORDS, k=80)) if i % 4 else " | ".join(rng.choices(["###", "x", "$$"], k=60)) for i in range(400)]
+    docs = stored(session, rows_of(texts), tmp_path_factory)
+    labels = session.createDataFrame([(i, int(i % 4 > 0)) for i in range(0, 400, 3)], "doc_id long, quality int")
+    found = cotrain.scored(docs, cotrain.train(docs, labels)).collect()
+    assert all(r.kept == bool(r.doc_id % 4) and 0 <= r.score <= 1 for r in found)
+    none = cotrain.scored(docs, cotrain.train(docs, labels.limit(0))).select("score").distinct().collect()
+    assert [round(r.score, 6) for r in none] == [0.5]
