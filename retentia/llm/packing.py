@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import sys
 import zlib
 from array import array
+from string import punctuation
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,42 +18,79 @@ from retentia.llm.common import Batches, rows_out
 
 # A token never reaches over the start of a space that is followed by a visible character.
 BEFORE_WORD = re.compile(r" (?=\S)")
+# How byte-level vocabularies write the bytes: the visible ones of Latin-1 as themselves, the others from 256 on.
+VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+SPACE = chr(ALPHABET[32])
 SCHEMA = pa.schema(
     [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 )
 
 
 class Encoder:
-    """Token ids of a text as little-endian 32-bit bytes, each distinct word encoded once per task.
+    """Token ids of a text as little-endian 32-bit bytes, for files of byte-level BPE.
 
-    Special tokens' strings in a text are ordinary text. ``words`` bounds the remembered words.
+    The text is cut before words; every different word, and every different pre-token of words that are not
+    plain letters, is encoded once per task. Special tokens' strings in a text are ordinary text. ``words``
+    bounds what is remembered.
     """
 
     def __init__(self, path: str, words: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.limit, self.known = words, {}
+        tokenizer = Tokenizer.from_file(path)
+        split, tokenize = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+        swap = sys.byteorder == "big"
 
-    def encode_all(self, parts: list[str]) -> list[bytes]:
-        out = [array("I", e.ids) for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-        if sys.byteorder == "big":
-            for ids in out:
+        def ids_of(written: str) -> bytes:
+            ids = array("I", [t.id for t in tokenize(written)])
+            if swap:
                 ids.byteswap()
-        return [ids.tobytes() for ids in out]
+            return ids.tobytes()
+
+        class Pieces(dict):
+            """Ids by pre-token."""
+
+            def __missing__(self, piece: str) -> bytes:
+                if piece.isascii() and piece.isprintable():
+                    written = piece.replace(" ", SPACE)
+                else:
+                    written = piece.encode().decode("latin-1").translate(ALPHABET)
+                found = self[piece] = ids_of(written)
+                return found
+
+        pieces = Pieces()
+
+        def encode(lead: str, part: str) -> bytes:
+            """Letters with marks after them are two pre-tokens, a single line end is one; all else is left to the tokenizer."""
+            core = part.rstrip(punctuation)
+            if core.isalpha():
+                tail = part[len(core) :]
+                return pieces[lead + core] + pieces[tail] if tail else pieces[lead + core]
+            first, end, rest = part.partition("\n")
+            if end and first and rest and not first[-1].isspace() and not rest[0].isspace():
+                return encode(lead, first) + pieces[end] + encode("", rest)
+            return b"".join([ids_of(p) for p, _ in split(lead + part)])
+
+        class Words(dict):
+            """Ids by word, with the space before it."""
+
+            def __missing__(self, word: str) -> bytes:
+                found = self[word] = encode(" ", word)
+                return found
+
+        self.encode, self.known, self.pieces, self.limit = encode, Words(), pieces, words
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        first, *words = BEFORE_WORD.split(text)
         if len(self.known) > self.limit:
             self.known.clear()
-        known = self.known
-        new = [first, *{w for w in words if w not in known}]
-        head, *rest = self.encode_all([first, *[f" {w}" for w in new[1:]]])
-        known.update(zip(new[1:], rest))
-        return head + b"".join([known[w] for w in words])
+            self.pieces.clear()
+        words = BEFORE_WORD.split(text)
+        words[0] = self.encode("", words[0])
+        words[1:] = map(self.known.__getitem__, words[1:])
+        return b"".join(words)
 
 
 def differencing(sizes: list[int], k: int) -> list:
@@ -105,7 +144,7 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
     return []
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, grain: int = 256, block: int = 128, words: int = 300_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, grain: int = 256, block: int = 128, words: int = 500_000) -> DataFrame:
     """One row per piece of a document and the place it has in a sequence of at most ``capacity`` tokens.
 
     A document's ids are those of its text (null: none) and a final 0. Whole sequences are cut from its
@@ -116,6 +155,13 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, grain: int = 256
     """
 
     def task(batches: Batches) -> Batches:
+        gc.disable()  # nothing here forms cycles; collections would only walk the remembered words
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
+    def packed(batches: Batches) -> Batches:
         encode = Encoder(tokenizer, words)
         sequence = TaskContext.get().partitionId() << 40
         items: list[tuple] = []
