@@ -42,13 +42,14 @@ def sliding(f, x: np.ndarray, width: int) -> np.ndarray:
     return f(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose gram has the least hash of some window of ``length`` bytes, and those hashes.
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of the windows of ``length`` bytes that share an anchor, and the hash of the anchor.
 
-    Equal windows have the same anchors at the same places, wherever they stand.
+    The anchor of a window is its first gram of least hash, so equal windows have the same anchor at the same
+    place, wherever they stand. Every window belongs to one anchor.
     """
     if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 3
     w = words_at(data)
     n = len(data) - GRAM + 1
     mixed = w[:n] * np.uint64(0x9E3779B97F4A7C15)
@@ -61,7 +62,15 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     least = sliding(np.minimum, order, width)
     edge = np.zeros(width - 1, np.uint32)
     at = np.flatnonzero(sliding(np.maximum, np.concatenate([edge, least, edge]), width) == order)
-    return at, mixed[at].view(np.int64)
+    values = order[at]
+    owner = np.searchsorted(at, np.arange(len(least)))
+    wrong = np.flatnonzero(values[owner] != least)
+    while len(wrong):  # on to the next anchor, until it is the least of the window
+        owner[wrong] += 1
+        wrong = wrong[values[owner[wrong]] != least[wrong]]
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    last = np.append(first[1:], len(owner)) - 1
+    return first, last, mixed[at[owner[first]]].view(np.int64)
 
 
 # --- one block ---
@@ -194,16 +203,7 @@ def repeated_windows(contexts: list[bytes], length: int, bucket: int = 1 << 18):
 # --- Spark jobs ---
 
 
-def _without_twins(pos: np.ndarray, gram: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchors without those whose context is the whole text again, after the same gram."""
-    whole = (pos <= length - GRAM) & (pos + length >= size)
-    first = np.zeros(len(pos), bool)
-    first[np.flatnonzero(whole)[np.unique(gram[whole], return_index=True)[1]]] = True
-    keep = ~whole | first
-    return pos[keep], gram[keep]
-
-
-ANCHORS = "row long, pos int, anchor long, context long"
+ANCHORS = "row long, first int, last int, anchor long, context long"
 CONTEXT = "anchor long, copies long, row long, start int, bytes binary"
 SPANS = "row long, start int, end int"
 SPAN_SCHEMA = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
@@ -212,8 +212,7 @@ SPAN_SCHEMA = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.
 def _anchored(length: int):
     from xxhash import xxh3_64_intdigest
 
-    schema = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("anchor", pa.int64()), ("context", pa.int64())])
-    before = length - GRAM
+    schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("context", pa.int64())])
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
@@ -221,11 +220,10 @@ def _anchored(length: int):
                 part = batch.slice(at, 256)
                 out = []
                 for row, text in zip(part["row"].to_pylist(), texts(part["text"])):
-                    pos, gram = anchors(np.frombuffer(text, np.uint8), length)
-                    if len(text) <= length + before:  # some contexts may be the whole text: one of each gram
-                        pos, gram = _without_twins(pos, gram, len(text), length)
-                    around = [xxh3_64_intdigest(text[max(0, p - before) : p + length]) for p in pos.tolist()]
-                    out.append((np.full(len(pos), row), pos.astype(np.int32), gram, np.array(around, np.uint64).view(np.int64)))
+                    first, last, gram = anchors(np.frombuffer(text, np.uint8), length)
+                    around = [xxh3_64_intdigest(text[a : b + length]) for a, b in zip(first.tolist(), last.tolist())]
+                    numbers = (first.astype(np.int32), last.astype(np.int32), gram, np.array(around, np.uint64).view(np.int64))
+                    out.append((np.full(len(first), row), *numbers))
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
     return task
@@ -234,15 +232,12 @@ def _anchored(length: int):
 def _contexts(length: int):
     """Contexts of the anchors wanted of each document."""
     schema = pa.schema([("anchor", pa.int64()), ("copies", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
-    before = length - GRAM
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
             out = []
             for row, text, wanted in zip(batch["row"].to_pylist(), texts(batch["text"]), batch["wanted"].to_pylist()):
-                for x in wanted:
-                    start = max(0, x["pos"] - before)
-                    out.append((x["anchor"], x["copies"], row, start, text[start : x["pos"] + length]))
+                out += [(x["anchor"], x["copies"], row, x["first"], text[x["first"] : x["last"] + length]) for x in wanted]
             for at in range(0, len(out), 1 << 13):
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out[at : at + (1 << 13)]), schema)], schema=schema)
 
@@ -266,17 +261,9 @@ def _block_spans(length: int, block: int):
     """Repeated windows of contexts sorted by anchor; whole classes of anchors are taken together up to ``block`` bytes."""
 
     def solved(held: list[dict]) -> pa.RecordBatch:
-        found = repeated_windows([x["bytes"] for x in held], length)
+        context, offset, _ = repeated_windows([x["bytes"] for x in held], length).T
         row, start = np.array([x["row"] for x in held]), np.array([x["start"] for x in held], np.int64)
-        copied = np.array([x["copies"] > 1 for x in held])
-        context, offset, number = found.T
-        place = np.unique(row, return_inverse=True)[1][context] << 40 | start[context] + offset
-        n = int(number.max(initial=-1)) + 1
-        low, high, many = np.full(n, np.iinfo(np.int64).max), np.full(n, -1), np.zeros(n, bool)
-        np.minimum.at(low, number, place)
-        np.maximum.at(high, number, place)
-        np.logical_or.at(many, number, copied[context])
-        own = ((low != high) | many)[number] & ~copied[context]  # copied contexts are removed whole already
+        own = ~np.array([x["copies"] > 1 for x in held])[context]  # copied contexts are removed whole already
         at = start[context[own]] + offset[own]
         return _merged(row[context[own]], at, at + length)
 
@@ -313,9 +300,8 @@ def _window_digests(length: int):
 def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
     """Repeated windows of classes too large for a block: every window by its digest, counted map-side first."""
     windows = stored(contexts.mapInArrow(_window_digests(length), "digest binary, place long, row long, copies long"), "hot-windows")
-    least, most = F.min(F.struct("row", "place")), F.max(F.struct("row", "place"))
-    repeated = windows.groupBy("digest").agg((least != most).alias("apart"), F.max("copies").alias("most")).filter("apart OR most > 1")
-    found = windows.join(repeated.select("digest"), "digest", "left_semi").filter("copies = 1")
+    repeated = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found = windows.filter("copies = 1").join(repeated.select("digest"), "digest", "left_semi")
     return found.select("row", F.col("place").cast("int").alias("start"), (F.col("place") + length).cast("int").alias("end"))
 
 
@@ -324,19 +310,18 @@ def repeated_spans(docs: DataFrame, length: int, block: int, hot: int) -> DataFr
     found = stored(docs.mapInArrow(_anchored(length), ANCHORS), "anchors")
     shared = found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("varied")
-    ).filter("n > 1")
+    ).filter("n > 1")
     hits = stored(found.join(shared.select("anchor", "varied"), "anchor"), "anchor-hits")
     copies = hits.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "pos")).alias("one"), F.first("varied").alias("varied")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "first", "last")).alias("one"), F.first("varied").alias("varied")
     )
     copies = stored(copies, "contexts")
     whole = hits.join(copies.filter("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
-    before = length - GRAM
-    certain = whole.select("row", F.greatest(F.lit(0), F.col("pos") - before).alias("start"), (F.col("pos") + length).alias("end"))
+    certain = whole.select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     varied = copies.filter("varied")
     sizes = varied.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))
-    wanted = varied.join(sizes, "anchor").select("one.row", F.struct("one.pos", "anchor", "copies").alias("x"))
+    wanted = varied.select("one.row", F.struct("one.first", "one.last", "anchor", "copies").alias("x"))
     wanted = wanted.groupBy("row").agg(F.collect_list("x").alias("wanted"))  # of one document
     contexts = stored(docs.join(wanted, "row").mapInArrow(_contexts(length), CONTEXT), "context-bytes")
     large = stored(sizes.filter(F.col("contexts") > hot).select("anchor"), "hot-anchors")
@@ -372,9 +357,9 @@ def without_repeats(docs: DataFrame, length: int = 200, block: int = 1 << 20, ho
     starts at another place, in the same document or another; matches never cross documents. Repeated rows
     are each other's copies and lose all such bytes; no documents, no rows; other columns are ignored.
 
-    1. Every window has an anchor, the gram of least hash, so equal windows share one. Anchors found once
-       are dropped. Of the others, contexts (all windows around the anchor) that are found twice are removed
-       whole; what is left to decide are anchors with different contexts.
+    1. Every window has an anchor, the first gram of least hash, so equal windows share one; the windows of an
+       anchor are its context. Anchors found once are dropped. Of the others, contexts that are found twice are
+       removed whole; what is left to decide are anchors with different contexts.
     2. One copy of each different context is fetched and goes to the block of its anchor. A block is sorted
        blockwise with a difference cover; windows are repeated if their neighbours in suffix order begin
        with the same ``length`` bytes, which is compared byte by byte.
