@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from string import punctuation
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,57 +32,74 @@ class SharedTrie:
     which changes no count.
     """
 
-    def __init__(self, scores: dict[str, float], nodes: int = 400_000, longest: int = 64):
+    def __init__(self, scores: dict[str, float], nodes: int = 1_000_000, longest: int = 64):
         self.scores, self.limit, self.longest = scores, nodes, longest
-        self.reach = max(map(len, scores), default=1)
+        self.ends = {p[i:]: scores.get(p[i:]) for p in scores for i in range(len(p))}
         self.worst = min(scores.values(), default=-10.0) - 10.0
         self._clear()
 
     def _clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: dict[int, int] = {}  # by node and character
         self.best, self.tokens = [0.0], [0]
-        self.terminal: dict[str, int] = {}
+        self.terminal: dict[str, int] = {}  # by pre-token
+        self.words: dict[str, int] = {}
 
-    def _score(self, word: str, end: int, best: list[float], tokens: list[int]) -> tuple[float, int]:
+    def _score(self, text: str, end: int, best: list[float], tokens: list[int]) -> tuple[float, int]:
         """Of the prefix that ends at ``end``, from the scores of all shorter ones."""
-        n = len(word[end - 1].encode("utf-8", "replace"))
-        found = (best[end - 1] + n * self.worst, -(tokens[end - 1] + n))
-        for start in range(max(0, end - self.reach), end):
-            own = self.scores.get(word[start:end])
+        last = text[end - 1]
+        n = 1 if last.isascii() else len(last.encode("utf-8", "replace"))
+        high, least, ends = best[end - 1] + n * self.worst, tokens[end - 1] + n, self.ends
+        for start in range(end - 1, -1, -1):
+            piece = text[start:end]
+            if piece not in ends:
+                break  # nor does any longer piece end so
+            own = ends[piece]
             if own is not None:
-                found = max(found, (best[start] + own, -(tokens[start] + 1)))
-        return found[0], -found[1]
+                own += best[start]
+                if own > high or own == high and tokens[start] < least:
+                    high, least = own, tokens[start] + 1
+        return high, least
 
-    def count(self, word: str) -> int:
-        known = self.terminal.get(word)
+    def pre_token(self, text: str) -> int:
+        known = self.terminal.get(text)
         if known is not None:
             return known
-        if len(word) > self.longest:  # long runs share little: scored by themselves, not stored
-            best, tokens = [0.0], [0]
-            for end in range(1, len(word) + 1):
-                b, t = self._score(word, end, best, tokens)
+        best, tokens = [0.0], [0]
+        if len(text) > self.longest:  # long runs share little: scored by themselves, not stored
+            for end in range(1, len(text) + 1):
+                b, t = self._score(text, end, best, tokens)
                 best.append(b)
                 tokens.append(t)
             return tokens[-1]
+        node, child, all_best, all_tokens = 0, self.child, self.best, self.tokens
+        for end, c in enumerate(text, 1):
+            key = node << 21 | ord(c)
+            node = child.get(key)
+            if node is None:
+                node = child[key] = len(all_best)
+                b, t = self._score(text, end, best, tokens)
+                all_best.append(b)
+                all_tokens.append(t)
+            best.append(all_best[node])
+            tokens.append(all_tokens[node])
+        self.terminal[text] = tokens[-1]
+        return tokens[-1]
+
+    def count(self, word: str) -> int:
+        """Tokens of a word: marks at its end are a pre-token of their own, the rest with a blank before it is one."""
         if len(self.best) > self.limit:
             self._clear()
-        node, best, tokens = 0, [0.0], [0]
-        for end, c in enumerate(word, 1):
-            after = self.child.get((node, c))
-            if after is None:
-                after = self.child[node, c] = len(self.best)
-                b, t = self._score(word, end, best, tokens)
-                self.best.append(b)
-                self.tokens.append(t)
-            node = after
-            best.append(self.best[node])
-            tokens.append(self.tokens[node])
-        self.terminal[word] = tokens[-1]
-        return tokens[-1]
+        core = word.rstrip(punctuation)
+        found = self.pre_token(BLANK + core) if core else self.pre_token(BLANK + word)
+        if core and len(core) < len(word):
+            found += self.pre_token(word[len(core) :])
+        if len(word) <= self.longest:
+            self.words[word] = found
+        return found
 
 
-def token_counts(docs: DataFrame, vocabulary: str, nodes: int = 400_000) -> DataFrame:
-    """Per row: ``doc_id``, ``n_words`` (pre-tokens between white space), ``n_tokens``.
+def token_counts(docs: DataFrame, vocabulary: str, nodes: int = 1_000_000) -> DataFrame:
+    """Per row: ``doc_id``, ``n_words`` (between white space), ``n_tokens``.
 
     Every task keeps a trie of the distinct pre-tokens it meets; nothing is shuffled. Null and blank texts
     have no words; repeated rows get equal counts; no documents, no rows; other columns are ignored.
@@ -94,9 +112,9 @@ def token_counts(docs: DataFrame, vocabulary: str, nodes: int = 400_000) -> Data
             words, tokens = [], []
             for text in batch["text"].to_pylist():
                 parts = (text or "").split()
-                found = trie.terminal
+                found = trie.words
                 words.append(len(parts))
-                tokens.append(sum([found[w] if (w := BLANK + p) in found else trie.count(w) for p in parts]))
+                tokens.append(sum([found[w] if w in found else trie.count(w) for w in parts]))
             yield pa.record_batch([batch["doc_id"], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, n_words long, n_tokens long")
