@@ -140,6 +140,8 @@ def known_corrections(corrections: DataFrame) -> DataFrame:
 def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) -> DataFrame:
     """Set corrected fields on all rows of the corrected ids; of several patches the last one counts.
 
+    Patches follow the number in their id, then its text; field names match whatever their case.
+
     Patches become one row per id with a (changed, value) pair per field - an aggregation bounded by
     the number of columns - so the facts take a single left join whatever the number of patches. A
     patch to nothing (blank) sets NULL, which differs from no patch.
@@ -148,14 +150,20 @@ def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) ->
     if key not in facts.columns:
         return facts
     fields = [c for c in facts.columns if c != "_batch_id"]
+    number = F.regexp_extract("correction_id", r"(\d+)", 1).try_cast("decimal(38,0)")
     last = (
         known_corrections(corrections)
-        .filter((F.col("entity_type") == entity) & F.col("field_corrected").isin(fields))
-        .groupBy("entity_id", "field_corrected")
-        .agg(F.max_by(F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value")), "correction_id").alias("patch"))
+        .withColumn("_field", F.lower(F.trim("field_corrected")))
+        .filter((F.col("entity_type") == entity) & F.col("_field").isin([c.lower() for c in fields]))
+        .groupBy("entity_id", "_field")
+        .agg(
+            F.max_by(
+                F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value")), F.struct(number, "correction_id")
+            ).alias("patch")
+        )
     )
     patches = last.groupBy(F.col("entity_id").alias("_id")).agg(
-        *[F.any_value(F.when(F.col("field_corrected") == c, F.col("patch")), True).alias(f"_p_{c}") for c in fields]
+        *[F.any_value(F.when(F.col("_field") == c.lower(), F.col("patch")), True).alias(f"_p_{c}") for c in fields]
     )
 
     def patched(c: str) -> Column:

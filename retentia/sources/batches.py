@@ -35,6 +35,7 @@ class Batch:
     batch_id: int
 
 
+# The delivery folders and their numbers.
 BATCHES = (Batch("batch_001", 1), Batch("batch_002", 2), Batch("batch_003", 3))
 
 

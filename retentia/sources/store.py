@@ -8,9 +8,9 @@ from retentia.sources.batches import BATCH, path_exists
 
 
 def write_fact_batch(new: DataFrame, path: str, batch_id: int) -> None:
-    """Load one batch into a fact table. Only that batch's partition is replaced, so re-running is safe."""
-    out = new.withColumn(BATCH, F.lit(batch_id))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+    """Load one batch into a fact table: its folder is replaced, also by a delivery without rows, which keeps its columns."""
+    folder = f"{path.rstrip('/')}/{BATCH}={batch_id}"
+    new.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -87,13 +87,3 @@ def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
         out = out.unionByName(part)
     return out
 
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a stored table that has fewer splits than the session has cores, by hash of ``key``.
-
-    A table in one small file would otherwise be parsed by one task. Tables with enough splits, which
-    is every large one, are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df

@@ -94,3 +94,24 @@ def test_invalid_corrections(spark):
     facts = spark.createDataFrame([("I1",), ("I1",), (None,)], "invoice_id string")
     out = invalid_corrections(spark.createDataFrame(rows, schema), facts, "invoice", {"invoice_date": "date", "amount": "decimal(12,2)"})
     assert {r.correction_id: (r.unknown_entity, r.invalid_value) for r in out.collect()} == {"C1": (False, True), "C3": (True, False)}
+
+
+def test_a_delivery_without_rows_replaces_the_batch(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = spark.createDataFrame([("a", "1"), ("b", "1")], "id string, _batch_id string")
+    store.write_fact_batch(rows.limit(0), path, 2)
+    assert store.read_fact(spark, path).count() == 0
+    store.write_fact_batch(rows, path, 1)
+    store.write_fact_batch(rows, path, 2)
+    store.write_fact_batch(rows.limit(0), path, 1)
+    found = store.read_fact(spark, path)
+    assert found.columns == ["id", "_batch_id"] and sorted(map(tuple, found.collect())) == [("a", 2), ("b", 2)]
+
+
+def test_patches_follow_their_numbers(spark):
+    from retentia.operators.merge import apply_corrections
+
+    facts = spark.createDataFrame([("I1", "open"), ("I2", "open")], "invoice_id string, Status string")
+    patches = [("COR-9", "invoice", "I1", " STATUS", "nine"), ("COR-10", "invoice", "I1", "status", "ten"), ("COR-1", "invoice", "I2", "nothing", "x")]
+    corrections = spark.createDataFrame(patches, "correction_id string, entity_type string, entity_id string, field_corrected string, new_value string")
+    assert sorted(map(tuple, apply_corrections(facts, corrections, "invoice").collect())) == [("I1", "ten"), ("I2", "open")]

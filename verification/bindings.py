@@ -2,7 +2,7 @@
 
 One SELECT per raw table in SQL common to Spark and DuckDB, so both sides of a comparison start from
 the same text. Every table is read whole; rows are split between raw tables by their own attributes
-(late usage by hour of day, amended contracts by priority, corrected invoices by discount). Dates are
+(late usage by hour of day). Dates are
 moved by 23 years into the default reporting window. ``_row_seq`` is the load order of repeated rows.
 """
 
@@ -43,13 +43,13 @@ BINDINGS = {
           ELSE 'dashboard,reporting,webhooks' END AS features,
         '2024-02-01' AS effective_date,
         CASE WHEN p_type = 'SMALL' THEN 'False' ELSE 'True' END AS is_active
-        FROM part WHERE p_type <> 'PROMO' GROUP BY p_type
+        FROM part GROUP BY p_type
     """,
     "raw_subscriptions": """
         SELECT 'SUB-' || lpad(cast(o_orderkey AS varchar(20)), 9, '0') AS subscription_id,
         'CUST-' || lpad(cast(o_custkey AS varchar(20)), 9, '0') AS customer_id,
         'PLN-' || CASE o_orderkey % 6 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'SMALL' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN
-          'PROMO' WHEN 4 THEN 'STANDARD' ELSE 'LARGE' END AS plan_id,
+          'LEGACY' WHEN 4 THEN 'STANDARD' ELSE 'LARGE' END AS plan_id,
         cast(cast(o_orderdate + INTERVAL 23 YEAR AS date) AS varchar(20)) AS start_date,
         CASE WHEN o_orderkey % 3 = 0 THEN cast(cast(cast(o_orderdate + INTERVAL 23 YEAR AS date) + cast(o_orderkey %
           400 - 5 AS int) AS date) AS varchar(20)) END AS end_date,
@@ -154,7 +154,8 @@ BINDINGS = {
           b >= CASE WHEN day(ts) <= 15 THEN 1 ELSE 2 END
     """,
     "raw_adjustments": """
-        SELECT 'ADJ-' || cast(l_orderkey % 500 AS varchar(20)) AS adjustment_id,
+        SELECT 'ADJ-' || cast(l_orderkey AS varchar(20)) || '-' || cast(l_linenumber AS varchar(20)) || '-' ||
+          cast(l_partkey AS varchar(20)) || '-' || cast(l_suppkey AS varchar(20)) AS adjustment_id,
         CASE WHEN l_partkey % 3 = 0 THEN 'CUST-' || lpad(cast(o_custkey AS varchar(20)), 9, '0') ELSE cast(o_custkey
           AS varchar(20)) END AS customer_id,
         'INV-' || cast(l_orderkey AS varchar(20)) || '-' || cast(l_linenumber AS varchar(20)) AS invoice_id,
@@ -170,7 +171,7 @@ BINDINGS = {
         CASE l_suppkey % 3 WHEN 0 THEN 'Approved' WHEN 1 THEN 'pending' ELSE 'rejected' END AS status,
         CASE WHEN l_partkey % 5 = 4 THEN 'ADJ-1' ELSE '' END AS reverses_adjustment_id,
         cast(l_suppkey % 2 + 2 AS varchar(20)) AS _batch_id
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_linenumber = 1
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     """,
     "raw_contract_amendments": """
         SELECT 'AMD-' || cast(o_orderkey AS varchar(20)) AS amendment_id,
@@ -189,10 +190,10 @@ BINDINGS = {
         'reason' AS reason,
         'approver' AS approved_by,
         cast(o_orderkey % 2 + 2 AS varchar(20)) AS _batch_id
-        FROM orders WHERE o_orderpriority = '1-URGENT'
+        FROM orders
     """,
     "raw_corrections": """
-        SELECT 'COR-' || lpad(cast(l_orderkey AS varchar(20)), 9, '0') AS correction_id,
+        SELECT 'COR-' || lpad(cast(l_orderkey AS varchar(20)), 9, '0') || '-' || cast(l_linenumber AS varchar(20)) AS correction_id,
         CASE WHEN l_orderkey % 13 = 0 THEN 'unknown' ELSE 'invoice' END AS entity_type,
         'INV-' || cast(l_orderkey AS varchar(20)) || '-' || cast(l_linenumber AS varchar(20)) AS entity_id,
         CASE l_orderkey % 4 WHEN 0 THEN 'status' WHEN 1 THEN 'amount' WHEN 2 THEN 'invoice_date' ELSE 'customer_id'
@@ -202,6 +203,6 @@ BINDINGS = {
         'reason' AS reason,
         '2024-03-15T10:00:00Z' AS corrected_at,
         'user' AS corrected_by
-        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_discount >= 0.1 AND l_linenumber = 2) t
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) t
     """,
 }

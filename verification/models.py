@@ -9,12 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retentia import Params, configure
 from retentia.plans import core, health, revenue, signals, staging, support
-from retentia.sources.store import spread
 from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
 BASE_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
-FACT_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 
 # The three exports of each ticket, spelled as a generator on the Spark side.
 _SPARK_SPELLING = (
@@ -32,8 +30,7 @@ class Models:
 
     def base(self, table: str) -> DataFrame:
         if table not in self._base:
-            stored = self.spark.read.parquet(f"{self.dir}/{table}.parquet")
-            self._base[table] = spread(stored, FACT_KEYS[table]) if table in FACT_KEYS else stored
+            self._base[table] = self.spark.read.parquet(f"{self.dir}/{table}.parquet")
         return self._base[table]
 
     def raw(self, name: str) -> DataFrame:
