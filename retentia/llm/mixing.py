@@ -15,15 +15,15 @@ STEPS = 100  # terms of the distribution function: at a mean of 16 the rest is f
 def source_rates(docs: DataFrame, source: str, targets: Mapping[str, float] | None, total: float | None) -> DataFrame:
     """Per source: documents, mean repetition rate, number of parts and the distribution function of a part."""
     counts = docs.groupBy(F.col(f"`{source}`").alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("sources"))
-    rows = F.col("all").cast("double") if total is None else F.lit(float(total))
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.count(F.lit(1)).alias("sources")).first()
+    rows = F.lit(float(sums["all"] if total is None else total))
     if targets is None:
-        share = F.lit(1.0) / F.col("sources")
+        share = F.lit(1.0 / max(1, sums["sources"]))
     else:
         whole = float(sum(targets.values()))
         named = F.create_map(*[F.lit(x) for k, v in targets.items() for x in (k, v / whole)])
         share = F.coalesce(F.try_element_at(named, F.col("source")), F.lit(0.0))
-    rated = counts.join(F.broadcast(sums)).select("source", "n", (rows * share / F.col("n")).alias("rate"))  # sums is one row
+    rated = counts.select("source", "n", (rows * share / F.col("n")).alias("rate"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
     mean = F.col("rate") / F.col("parts")
     start = F.struct(F.exp(-mean).alias("p"), F.array(F.exp(-mean)).alias("cdf"))
