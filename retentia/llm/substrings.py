@@ -311,7 +311,8 @@ def repeated_spans(docs: DataFrame, length: int, block: int, hot: int) -> DataFr
     shared = found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("varied")
     ).filter("n > 1")
-    hits = stored(found.join(shared.select("anchor", "varied"), "anchor"), "anchor-hits")
+    shared = stored(shared.select("anchor", "varied"), "shared-anchors")  # so that the join's hot anchors can be split
+    hits = stored(found.join(shared, "anchor"), "anchor-hits")
     copies = hits.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "first", "last")).alias("one"), F.first("varied").alias("varied")
     )
