@@ -132,6 +132,15 @@ def test_exact_medians(spark, n):
         assert got[c] == pytest.approx(median([r[i] for r in rows if r[i] is not None]))
 
 
+@pytest.mark.parametrize("accuracy", [10, 100])
+def test_exact_medians_by_coarse_sketches(spark, accuracy):
+    """Many different values and sketches that miss: the search narrows round by round, without a sort."""
+    rng = random.Random(accuracy)
+    rows = [(rng.random() ** 9, rng.choice([1, 2])) for _ in range(3000)] + [(-1e12, 2), (1e12, 2)]
+    got = totals.exact_medians(spark.createDataFrame(rows, "a double, b int"), ["a", "b"], accuracy)
+    assert got == {"a": median([r[0] for r in rows]), "b": median([r[1] for r in rows])}
+
+
 def test_exact_medians_when_one_value_dominates(spark):
     df = spark.range(999).select(F.when(F.col("id") < 700, 5).otherwise(F.col("id")).alias("v"), F.lit(None).cast("int").alias("none"))
     assert totals.exact_medians(df, ["v", "none"]) == {"v": 5.0, "none": None}
