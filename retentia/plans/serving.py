@@ -29,15 +29,15 @@ ORDER = {
     "support_summary": ["ticket_month"],
     "open_tickets": ["-is_high_priority", "created_date"],
     "usage_monthly_trend": ["month", "metric_name"],
-    "usage_customer_detail": ["total_events_3m"],
+    "usage_customer_detail": ["total_events_{months}m"],
     "support_by_category": ["-total_tickets"],
     "feature_breadth_by_month": ["month", "feature_breadth"],
     "post_ticket_engagement": ["recovery_ratio"],
 }
 
 
-def in_report_order(report: str, df: DataFrame) -> DataFrame:
-    return df.orderBy(*ordered(*ORDER[report]))
+def in_report_order(report: str, df: DataFrame, p: Params = Params()) -> DataFrame:
+    return df.orderBy(*ordered(*[c.format(months=len(p.months)) for c in ORDER[report]]))
 
 
 def _whole(c: Column) -> Column:
@@ -220,12 +220,14 @@ def amendment_month_summary(waterfall: DataFrame, breakdown: DataFrame, p: Param
 # --- customers --------------------------------------------------------------------------------
 
 
-def health_score_table(health: DataFrame, scope: Scope = Scope()) -> DataFrame:
+def health_score_table(health: DataFrame, scope: Scope = Scope(), p: Params = Params()) -> DataFrame:
+    before, last = p.month_labels[-2:]
     return row_scope(health, scope).select(
         "customer_id", "company_name", "region", "account_tier", "health_score", "risk_tier",
         "current_mrr", "mrr_at_risk", "usage_score", "support_score", "financial_score",
         "is_silent_churn", "has_open_critical_ticket", "has_overdue_invoices", "has_recent_downgrade",
-        "is_expansion_candidate", "total_events_3m", "feb_mar_pct_change", "avg_satisfaction_score", "open_tickets",
+        "is_expansion_candidate", f"total_events_{len(p.months)}m", f"{before}_{last}_pct_change", "avg_satisfaction_score",
+        "open_tickets",
     )
 
 
