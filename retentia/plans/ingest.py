@@ -16,7 +16,7 @@ from retentia.operators.merge import (
     merge_dimension,
     scd2_snapshot,
 )
-from retentia.sources.batches import BATCH, CORRECTIONS, DIMENSIONS, FACTS, Batch, read_csv, read_dim_batch, read_fact_batch
+from retentia.sources.batches import BATCH, CORRECTIONS, DIMENSIONS, FACTS, Batch, delivered, read_csv, read_dim_batch, read_fact_batch
 from retentia.sources.store import VersionedTable, load_summary, path_exists, read_fact, write_fact_batch
 
 
@@ -60,18 +60,23 @@ class RawStore:
     def load_fact(self, table: str, incoming: DataFrame, batch_id: int) -> None:
         write_fact_batch(incoming, self.fact_path(table), batch_id)
 
-    def correct(self, corrections: DataFrame) -> None:
-        """Apply a batch of corrections to every table they name and that exists."""
+    def correct(self, corrections: DataFrame, upto: int | None = None, tables: set[str] | None = None) -> None:
+        """Apply a batch of corrections to every table they name and that exists, or only to ``tables``.
+
+        Rows of batches after ``upto`` were delivered later and stay as they are.
+        """
         kinds = [r[0] for r in known_corrections(corrections).select("entity_type").distinct().collect()]
         for entity in sorted(kinds):  # at most one entry per known kind
             table, _ = CORRECTION_TARGETS[entity]
+            if tables is not None and table not in tables:
+                continue
             if table in DIMENSIONS and self.dimension(table).exists():
                 store = self.dimension(table)
                 store.write(apply_corrections(store.read(), corrections, entity))
             elif table in FACTS and self.has_fact(table):
-                self._correct_fact(table, corrections, entity)
+                self._correct_fact(table, corrections, entity, upto)
 
-    def _correct_fact(self, table: str, corrections: DataFrame, entity: str) -> None:
+    def _correct_fact(self, table: str, corrections: DataFrame, entity: str, upto: int | None) -> None:
         """Rewrite the batches that hold corrected ids, and only those.
 
         The corrected copy is written out before the originals are touched; patches set fixed values, so
@@ -81,6 +86,8 @@ class RawStore:
         facts = self.fact(table)
         if key not in facts.columns:
             return
+        if upto is not None:
+            facts = facts.filter(F.col(BATCH) <= upto)
         ids = known_corrections(corrections).filter(F.col("entity_type") == entity).select(F.col("entity_id").alias(key))
         touched = [r[0] for r in facts.join(ids, key, "left_semi").select(BATCH).distinct().collect()]  # one per batch
         if not touched:
@@ -92,20 +99,52 @@ class RawStore:
         copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.fact_path(table))
 
 
-def load_batch(store: RawStore, root: str, batch: Batch, as_of: date | None = None) -> None:
-    """One delivery, in order: dimensions, facts, corrections. Missing files are skipped."""
+def load_tables(store: RawStore, root: str, batch: Batch, tables: set[str], as_of: date | None = None) -> None:
+    """The named tables of one delivery, dimensions first. Missing files are skipped."""
     spark = store.spark
-    for table in DIMENSIONS:
+    for table in [t for t in DIMENSIONS if t in tables]:
         incoming = read_dim_batch(spark, root, batch, table)
         if incoming is not None:
             store.sync_dimension(table, incoming, as_of if table == "customers" else None)
-    for table in FACTS:
+    for table in [t for t in FACTS if t in tables]:
         incoming = read_fact_batch(spark, root, batch, table)
         if incoming is not None:
             store.load_fact(table, incoming, batch.batch_id)
-    corrections = read_csv(spark, f"{root}/{batch.name}/{CORRECTIONS}.csv")
+
+
+def apply_delivered_corrections(store: RawStore, root: str, batch: Batch, tables: set[str]) -> None:
+    corrections = read_csv(store.spark, f"{root}/{batch.name}/{CORRECTIONS}.csv")
     if corrections is not None:
-        store.correct(corrections)
+        store.correct(corrections, batch.batch_id, tables)
+
+
+def load_batch(store: RawStore, root: str, batch: Batch, as_of: date | None = None) -> None:
+    """One delivery, in order: dimensions, facts, corrections."""
+    tables = {*DIMENSIONS, *FACTS}
+    load_tables(store, root, batch, tables, as_of)
+    apply_delivered_corrections(store, root, batch, tables)
+
+
+def load_arrived(store: RawStore, root: str, arrived: set[tuple[str, str]]) -> None:
+    """Bring the store up to date after files of some deliveries (folder name, table) have arrived.
+
+    A table of which a part arrived is read again whole, so parts that arrive one after the other lose
+    nothing and a repeated call changes nothing. A dimension that a later delivery has replaced before stays. What
+    is loaded again is patched again, by its own and later deliveries' corrections in order.
+    """
+    known = delivered(store.spark, root)
+    again: set[str] = set()
+    for i, batch in enumerate(known):
+        replaced = {
+            t for t in DIMENSIONS for b in known[i + 1 :]
+            if (b.name, t) not in arrived and path_exists(store.spark, f"{root}/{b.name}/{t}.csv")
+        }
+        tables = {t for name, t in arrived if name == batch.name} - replaced
+        load_tables(store, root, batch, tables)
+        again |= tables
+        patched = ({*DIMENSIONS, *FACTS} if CORRECTIONS in tables else again) - replaced
+        if patched:
+            apply_delivered_corrections(store, root, batch, patched)
 
 
 def load_batches(store: RawStore, root: str, batches: tuple[Batch, ...], as_of: dict[int, date] | None = None) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 # Tables delivered as full snapshots, with their keys.
 DIMENSIONS = {"customers": "customer_id", "plans": "plan_id", "subscriptions": "subscription_id"}
@@ -25,6 +25,9 @@ FACTS = {
 CORRECTIONS = "corrections"
 BATCH = "_batch_id"
 
+# The largest tables hold ids, dates, amounts and labels only: no value has a line break, so files can be split.
+SINGLE_LINE = {"invoices", "payments", "usage_events", "late_usage_jan"}
+
 # Texts read as NULL; add "NA" and the like only where they cannot be real values (a region can).
 NULL_TOKENS = ("",)
 
@@ -44,19 +47,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    return [s.getPath().getName() for s in listed if s.isDirectory()]
+
+
+def delivered(spark: SparkSession, root: str) -> list[Batch]:
+    """The deliveries that a root folder holds, in order."""
+    found = [re.fullmatch(r"batch_0*(\d+)", name) for name in folders(spark, root)]
+    return sorted((Batch(m[0], int(m[1])) for m in found if m), key=lambda b: b.batch_id)
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame | None:
+def read_csv(
+    spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS, multi_line: bool = True
+) -> DataFrame | None:
     """A headered CSV as text columns, names lower-cased and stripped; None where the file is missing.
 
     The header names the columns, so a new column in a later delivery is picked up; no type inference
-    pass reads the data, typing is left to staging.
+    pass reads the data, typing is left to staging. With ``multi_line``, values may hold line breaks and
+    a file is read by one task; without, large files are split.
     """
     if not path_exists(spark, path):
         return None
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     df = clean_names(raw)
     return df.select(*[F.when(~F.col(c).isin(list(null_tokens)), F.col(c)).alias(c) for c in df.columns])
 
@@ -70,9 +89,7 @@ def read_dim_batch(
 def read_fact_batch(
     spark: SparkSession, root: str, batch: Batch, table: str, null_tokens: Sequence[str] = NULL_TOKENS
 ) -> DataFrame | None:
-    df = read_csv(spark, f"{root}/{batch.name}/{table}.csv", null_tokens)
+    df = read_csv(spark, f"{root}/{batch.name}/{table}.csv", null_tokens, table not in SINGLE_LINE)
     return None if df is None else df.withColumn(BATCH, F.lit(str(batch.batch_id)))
 
 
-def text_schema(columns: Sequence[str]) -> StructType:
-    return StructType([StructField(c, StringType()) for c in columns])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from retentia.sources.batches import BATCH, path_exists
+from retentia.sources.batches import BATCH, folders, path_exists
 
 
 def write_fact_batch(new: DataFrame, path: str, batch_id: int) -> None:
@@ -14,8 +15,18 @@ def write_fact_batch(new: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a fact table; columns that only later batches have are NULL in earlier rows."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All batches of a fact table; columns that only later batches have are NULL in earlier rows.
+
+    A batch is written as a whole, so its columns are read from one of its files: a footer per batch,
+    however many files the table has. A column whose type differs between batches is an error.
+    """
+    fields: dict = {}
+    batches = [name for name in folders(spark, path) if name.startswith(f"{BATCH}=")]
+    for name in sorted(batches, key=lambda n: int(n.partition("=")[2])):
+        for field in spark.read.parquet(f"{path}/{name}").schema.fields:
+            if fields.setdefault(field.name.lower(), field).dataType != field.dataType:
+                raise ValueError(f"{path}: the type of {field.name} differs between batches")
+    return spark.read.schema(StructType(list(fields.values()))).parquet(path)
 
 
 class VersionedTable:

@@ -2,43 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from retentia.plans.ingest import RawStore
-from retentia.sources.batches import BATCH, text_schema
+from retentia.plans.ingest import RawStore, load_arrived
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
-def delivered_files(store: RawStore, root: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows of all deliveries of one table as a stream; the batch number comes from the folder name."""
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"batch_0*(\d+)/", 1)
-    rows = (
-        store.spark.readStream.schema(text_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("escape", '"')
-        .csv(f"{root}/batch_*/{table}.csv")
-    )
-    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns], number.cast("int").alias(BATCH))
+
+def delivered_files(store: RawStore, root: str) -> DataFrame:
+    """Folder and table of every delivered file as a stream; contents are not read."""
+    files = store.spark.readStream.format("binaryFile").schema(FILES).load(f"{root}/batch_*/*.csv")
+    place = r"/(batch_\d+)/([^/]+)\.csv(?:/|$)"
+    return files.select(F.regexp_extract("path", place, 1).alias("folder"), F.regexp_extract("path", place, 2).alias("table"))
 
 
-def stream_facts(store: RawStore, root: str, table: str, columns: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Load the deliveries that arrived since the last run, then stop.
+def stream_deliveries(store: RawStore, root: str, checkpoint: str) -> StreamingQuery:
+    """Load what was delivered since the last run, then stop: dimensions, facts, corrections in their order.
 
-    Each micro-batch replaces the partitions of the deliveries it contains, so a micro-batch that is
-    repeated after a failure leaves the same table. Whole files are read: a delivery that is split over
-    several files must arrive in one micro-batch.
+    The stream finds new files; the batch reader reads the tables they belong to, so both routes match
+    columns by name and agree on quoting. A micro-batch that is repeated leaves the same tables.
     """
 
-    def load(rows: DataFrame, _: int) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(
-            store.fact_path(table)
-        )
+    def load(files: DataFrame, _: int) -> None:
+        found = files.distinct().collect()  # one per delivery and table
+        load_arrived(store, root, {(r.folder, r.table) for r in found})
 
     return (
-        delivered_files(store, root, table, columns)
+        delivered_files(store, root)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

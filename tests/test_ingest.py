@@ -6,7 +6,7 @@ import pytest
 
 from retentia.plans.ingest import RawStore, invalid_corrections, load_batch, load_batches
 from retentia.sources import batches, store
-from retentia.streaming.ingest_stream import stream_facts
+from retentia.streaming.ingest_stream import stream_deliveries
 
 
 def write(folder, name, text):
@@ -82,9 +82,48 @@ def test_stream_loads_new_deliveries_only_once(spark, deliveries):
     root, out = deliveries
     raw = RawStore(spark, out)
     for _ in range(2):
-        stream_facts(raw, root, "invoices", ["invoice_id", "customer_id", "status"], out + "/checkpoint").awaitTermination()
-        rows = sorted((r.invoice_id, r._batch_id) for r in raw.fact("invoices").collect())
-        assert rows == [("I1", 1), ("I1", 2), ("I2", 1)]
+        stream_deliveries(raw, root, out + "/checkpoint").awaitTermination()
+        rows = sorted((r.invoice_id, r.status, r._batch_id) for r in raw.fact("invoices").collect())
+        assert rows == [("I1", "void", 1), ("I1", "void", 2), ("I2", "paid", 1)]
+        assert sorted((r.customer_id, r.region) for r in raw.dimension("customers").read().collect())[-1] == ("CUST-4", "EMEA")
+        assert raw.dimension("customers").version == 3  # two deliveries and a correction, each once
+
+
+def test_stream_keeps_the_parts_of_a_delivery(spark, tmp_path):
+    """Parts in separate runs, a header in another order, line breaks in texts, an older delivery's late part."""
+    root, raw = str(tmp_path / "in"), RawStore(spark, str(tmp_path / "out"))
+    one, two = tmp_path / "in" / "batch_001", tmp_path / "in" / "batch_002"
+
+    def run():
+        stream_deliveries(raw, root, str(tmp_path / "checkpoint")).awaitTermination()
+        return sorted((r.payment_id, r.amount, r._batch_id) for r in raw.fact("payments").collect())
+
+    write(one / "payments.csv", "a", "payment_id,amount\nP1,10\n")
+    write(one, "customers", "customer_id,region\nCUST-1,old\n")
+    assert run() == [("P1", "10", 1)]
+    write(two, "payments", "amount,payment_id\n20,P2\n")
+    write(two, "customers", "customer_id,region\nCUST-1,new\n")
+    write(two, "support_tickets", 'ticket_id,description\nT1,"two\nlines"\n')
+    write(two, "corrections", "correction_id,entity_type,entity_id,field_corrected,new_value\nC1,payment,P3,amount,33\n")
+    assert run() == [("P1", "10", 1), ("P2", "20", 2)]
+    write(one / "payments.csv", "b", "payment_id,amount\nP3,30\n")
+    write(one, "plans", "plan_id\nPLN-PRO\n")
+    assert run() == [("P1", "10", 1), ("P2", "20", 2), ("P3", "33", 1)]
+    assert [r.region for r in raw.dimension("customers").read().collect()] == ["new"]
+    assert [r.description for r in raw.fact("support_tickets").collect()] == ["two\nlines"]
+
+
+def test_only_texts_are_read_by_one_task(spark, tmp_path):
+    from retentia.sources.batches import read_fact_batch
+
+    write(tmp_path / "batch_001", "invoices", "invoice_id,amount\n" + "".join(f"I{i},{i}\n" for i in range(20_000)))
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        df = read_fact_batch(spark, str(tmp_path), BATCHES[0], "invoices")
+        assert (df.select("amount").distinct().count(), df.rdd.getNumPartitions() > 1) == (20_000, True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
 
 
 def test_invalid_corrections(spark):

@@ -11,7 +11,7 @@ from retentia.plans import ingest, signals
 from retentia.plans.staging import union_late_events
 from retentia.session import scratch_dir
 from retentia.sources import batches, store
-from retentia.streaming.ingest_stream import stream_facts
+from retentia.streaming.ingest_stream import stream_deliveries
 from verification.oracle import oracle
 from verification.registry import query
 from verification.report_queries import raw_tables, rows_per_batch
@@ -188,12 +188,11 @@ def _(m):
     root, found = scratch_dir(m.spark, "deliveries"), list(batches.BATCHES)
     rows = m.raw("raw_payments").drop("_row_seq")
     target = ingest.RawStore(m.spark, scratch_dir(m.spark, "store"))
-    columns = [c for c in rows.columns if c != "_batch_id"]
     checkpoint = scratch_dir(m.spark, "stream")
     for b in found:
         mine = rows.filter(F.col("_batch_id") == str(b.batch_id)).drop("_batch_id")
         deliver(mine, root, b, "payments")
-        stream_facts(target, root, "payments", columns, checkpoint).awaitTermination()
+        stream_deliveries(target, root, checkpoint).awaitTermination()
     return target.fact("payments")
 
 
