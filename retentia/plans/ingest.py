@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from retentia.functions.cleaning import lookup
 from retentia.operators.merge import (
     CORRECTION_TARGETS,
     apply_corrections,
@@ -154,6 +156,20 @@ def load_batches(store: RawStore, root: str, batches: tuple[Batch, ...], as_of:
     return load_summary(store.tables())
 
 
+def rejected_corrections(corrections: DataFrame, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Patches that cannot be applied to any table, with the ``reason``; ``columns`` are those of the loaded tables."""
+    tables = {kind: table for kind, (table, _) in CORRECTION_TARGETS.items()}
+    table = lookup(tables, F.lower(F.trim("entity_type")))
+    fields = [f"{t}.{c.lower()}" for t, names in columns.items() for c in names if c != BATCH]
+    known = F.concat(table, F.lit("."), F.lower(F.trim("field_corrected"))).isin(fields)
+    reason = (
+        F.when(table.isNull(), "unknown entity type")
+        .when(~table.isin(list(columns)), "table not loaded")
+        .when(~F.coalesce(known, F.lit(False)), "unknown field")
+    )
+    return corrections.select("correction_id", "entity_type", "entity_id", "field_corrected", "new_value", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def invalid_corrections(corrections: DataFrame, facts: DataFrame, entity: str, types: dict[str, str]) -> DataFrame:
     """Patches that cannot work: no such entity, or a value the target column cannot hold.
 

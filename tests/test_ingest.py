@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 
-from retentia.plans.ingest import RawStore, invalid_corrections, load_batch, load_batches
+from retentia.plans.ingest import RawStore, invalid_corrections, load_batch, load_batches, rejected_corrections
 from retentia.sources import batches, store
 from retentia.streaming.ingest_stream import stream_deliveries
 
@@ -135,6 +135,16 @@ def test_invalid_corrections(spark):
     assert {r.correction_id: (r.unknown_entity, r.invalid_value) for r in out.collect()} == {"C1": (False, True), "C3": (True, False)}
 
 
+def test_rejected_corrections(spark):
+    schema = "correction_id string, entity_type string, entity_id string, field_corrected string, new_value string"
+    rows = [("C1", " Invoice", "I1", " Status ", "void"), ("C2", "robot", "I1", "status", "x"), ("C3", "payment", "P1", "status", "x"),
+            ("C4", "invoice", "I1", "colour", "x"), ("C5", None, "I1", "status", "x"), ("C6", "invoice", "I1", None, "x")]
+    out = rejected_corrections(spark.createDataFrame(rows, schema), {"invoices": ["invoice_id", "STATUS", "_batch_id"]})
+    assert {r.correction_id: r.reason for r in out.collect()} == {
+        "C2": "unknown entity type", "C3": "table not loaded", "C4": "unknown field", "C5": "unknown entity type", "C6": "unknown field",
+    }
+
+
 def test_a_delivery_without_rows_replaces_the_batch(spark, tmp_path):
     path = str(tmp_path / "fact")
     rows = spark.createDataFrame([("a", "1"), ("b", "1")], "id string, _batch_id string")

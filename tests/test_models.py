@@ -24,6 +24,16 @@ def models(spark):
     return Models(spark, SMALL)
 
 
+def test_reports_of_another_window(spark):
+    two = Models(spark, SMALL, Params(id_width=9, months=(date(2024, 2, 1), date(2024, 3, 1))))
+    table = serving.health_score_table(two.health, p=two.p)
+    assert {"total_events_2m", "feb_mar_pct_change"} <= set(table.columns)
+    detail = serving.usage_customer_detail(two.usage_stats, two.health, p=two.p)
+    totals = [r.total_events_2m for r in serving.in_report_order("usage_customer_detail", detail, two.p).collect()]
+    assert totals and totals == sorted(totals)
+    assert table.count() == serving.filter_health(table).count() >= serving.mrr_at_risk_by_region(table).count()
+
+
 def subscriptions(spark, rows):
     schema = "subscription_id string, customer_id string, plan_id string, start_date date, end_date date, mrr decimal(10,2), billing_cycle string, auto_renew boolean, status string"
     return spark.createDataFrame(rows, schema)

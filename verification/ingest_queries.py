@@ -150,6 +150,18 @@ def _(m):
     return ingest.invalid_corrections(m.raw("raw_corrections"), live, "invoice", types)
 
 
+@query(
+    "rejected_corrections",
+    oracle("""SELECT correction_id, entity_type, entity_id, field_corrected, new_value,
+                CASE WHEN entity_type = 'unknown' THEN 'unknown entity type' ELSE 'unknown field' END AS reason
+              FROM raw_corrections WHERE entity_type = 'unknown' OR field_corrected = 'status'"""),
+)
+def _(m):
+    # as before the deliveries had a status
+    columns = [c for c in m.raw("raw_invoices").columns if c != "status"]
+    return ingest.rejected_corrections(m.raw("raw_corrections"), {"invoices": columns})
+
+
 @query("load_summary", oracle(rows_per_batch(width=False)))
 def _(m):
     return store.load_summary(raw_tables(m))
