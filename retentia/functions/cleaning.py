@@ -70,7 +70,7 @@ def normalize_customer_id(raw: Column, width: int = 3) -> Column:
 
 
 def customer_key(customer_id: Column) -> Column:
-    """Numeric part of a normalised id; an id without one is an error."""
+    """Numeric part of a normalised id; an id without one, or with one beyond 2,147,483,647, is an error."""
     return F.replace(customer_id, F.lit("CUST-"), F.lit("")).cast("int")
 
 
@@ -127,7 +127,10 @@ def _has_day(raw: Column) -> Column:
 
 
 def as_date(raw: Column) -> Column:
-    """ISO date text to DATE; text that is not a full date gives NULL."""
+    """ISO date text to DATE; text that does not start with a full date gives NULL.
+
+    What follows the date after a blank or a ``T`` is not looked at, and slashes are no date.
+    """
     return F.when(_has_day(raw), raw.try_cast("date"))
 
 
@@ -141,11 +144,15 @@ def as_utc_date(raw: Column) -> Column:
     return F.to_date(F.when(_has_day(raw), raw.try_cast("timestamp")))
 
 
-def id_format(customer_id: Column) -> Column:
-    """Class of a customer id as it is written in an export."""
+def id_format(customer_id: Column, shown: int = 10) -> Column:
+    """Class of a customer id as it is written in an export.
+
+    Ids in no known format are classed by their first ``shown`` characters, so as many classes can
+    arise as there are such beginnings; 0 puts all of them into one class.
+    """
     return (
         F.when(F.upper(customer_id).startswith("CUST-"), "CUST-001")
         .when(F.lower(customer_id).startswith("cust_"), "cust_1234")
         .when(customer_id.rlike(r"^[cC]\d+$"), "C001")
-        .otherwise(F.concat(F.lit("other: "), F.substring(customer_id, 1, 10)))
+        .otherwise(F.concat(F.lit("other: "), F.substring(customer_id, 1, shown)))
     )
