@@ -31,13 +31,26 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def fixed_splits(spark: SparkSession) -> None:
+    """Keep the number of tasks that files are cut for as it is now.
+
+    Spark takes it from the cores present at each read, so that a small table would be cut in another way,
+    and its rows numbered in another way, after an executor is lost or added. A value that is set stays.
+    """
+    name = "spark.sql.leafNodeDefaultParallelism"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+
+
 def numbered(docs: DataFrame, *columns: str) -> DataFrame:
     """``row`` and the named columns. Row numbers repeat exactly when the same stored table is read again."""
+    fixed_splits(docs.sparkSession)
     return docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(c) for c in columns])
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The documents whose row number is in ``rows`` (column ``row``); ``docs`` is a stored table."""
+    fixed_splits(docs.sparkSession)
     name = free_name(docs, "row")
     tagged = docs.withColumn(name, F.monotonically_increasing_id())
     return tagged.join(rows.select(F.col("row").alias(name)), name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

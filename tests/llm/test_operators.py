@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from retentia import configure
 from retentia.llm import cotrain, exact_dedup, language, mixing, packing, pii, rules, simhash, substrings, tokens
+from retentia.llm.common import keep_rows, numbered
 from retentia.llm.components import components
 from retentia.llm.queries import tokenizer
 
@@ -528,3 +529,18 @@ def test_cotraining_of_documents(session, tmp_path_factory):
     assert all(r.kept == bool(r.doc_id % 4) and 0 <= r.score <= 1 for r in found)
     none = cotrain.scored(docs, cotrain.train(docs, labels.limit(0))).select("score").distinct().collect()
     assert [round(r.score, 6) for r in none] == [0.5]
+
+
+def test_row_numbers_do_not_depend_on_cores(session, docs):
+    """A lost executor must not change how a table is cut between two reads of its row numbers."""
+    name = "spark.sql.leafNodeDefaultParallelism"
+    before = session.conf.get(name, None)
+    session.conf.unset(name)
+    assert numbered(docs, "doc_id").count() == docs.count()
+    assert session.conf.get(name) == str(session.sparkContext.defaultParallelism)
+    session.conf.set(name, "3")
+    keep_rows(docs, numbered(docs))
+    assert session.conf.get(name) == "3"
+    session.conf.unset(name)
+    if before is not None:
+        session.conf.set(name, before)
