@@ -68,7 +68,7 @@ def valid_at_join(
     days = asked.filter(F.col(key).isNotNull() & F.col("_at").isNotNull()).distinct()
     # Spans are clipped to the days that occur, so open ends stay short.
     day = F.unix_date("_at")
-    reach = asked.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    reach = days.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()  # reuses the days' shuffle
     first_day, last_day = reach["first"], reach["last"]
     clipped = (
         spans.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
@@ -115,6 +115,23 @@ def month_skeleton(df: DataFrame, key: str, months: Sequence[date], name: str =
     return df.select(key, F.explode(month_literals(months)).alias(name))
 
 
+def most_at_once(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Per key: the highest number of spans that run on one day; both ends count, a NULL end stays open.
+
+    Spans without a key or start, or that end before they start, run on no day. Starts and ends are added up per (key, day), combined
+    map-side, so the running total of a hot key has one row per calendar day and no two spans are paired.
+    """
+    opened = F.struct(F.unix_date(F.col(start)).alias("day"), F.lit(1).alias("change"))
+    closed = F.struct((F.unix_date(F.col(end)) + 1).alias("day"), F.lit(-1).alias("change"))
+    valid = spans.filter(
+        F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
+    )
+    edges = F.array_compact(F.array(opened, F.when(F.col(end).isNotNull(), closed)))
+    daily = valid.select(key, F.inline(edges)).groupBy(key, "day").agg(F.sum("change").alias("change"))
+    running = F.sum("change").over(Window.partitionBy(key).orderBy("day"))
+    return daily.select(key, running.alias("_n")).groupBy(key).agg(F.max("_n").alias("most_at_once"))
+
+
 def window_totals(
     points: DataFrame, facts: DataFrame, key: str, at: str, windows: dict[str, tuple[int, int]], sums: Sequence[str]
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retentia.functions.cleaning import id_format
 from retentia.functions.finance import round_half_up
+from retentia.operators.intervals import most_at_once
 from retentia.sources.batches import BATCH
 
 
@@ -98,11 +99,18 @@ def profile_orphans(children: dict[str, DataFrame], parent: DataFrame, key: str
     return _union([one(n, d) for n, d in children.items()])
 
 
-def profile_subscription_overlap(subscriptions: DataFrame) -> DataFrame:
-    """Customers with more than one subscription that is open-ended or ends after it starts."""
+def profile_subscription_overlap(subscriptions: DataFrame, by_period: bool = False) -> DataFrame:
+    """Customers with more than one subscription that is open-ended or ends after it starts.
+
+    ``by_period`` counts only those of which two run on the same day, and adds the most that do.
+    """
     lasting = subscriptions.filter(
         F.col("customer_id").isNotNull() & (F.col("end_date").isNull() | (F.col("end_date") > F.col("start_date")))
     )
+    if by_period:
+        per_customer = most_at_once(lasting, "customer_id", "start_date", "end_date")
+        overlapping = F.count_if(F.col("most_at_once") > 1).alias("customers_with_overlap")
+        return per_customer.agg(overlapping, F.coalesce(F.max("most_at_once"), F.lit(0)).alias("most_at_once"))
     several = lasting.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return several.agg(F.count(F.lit(1)).alias("customers_with_several"))
 

@@ -99,6 +99,23 @@ def test_window_totals_equal_brute_force(spark):
     assert got == {(k, d): (total(k, d, -14, -1), total(k, d, 1, 14)) for k, d in points if k and d}
 
 
+def test_most_at_once_equals_brute_force(spark):
+    rng = random.Random(11)
+    spans = []
+    for _ in range(300):
+        start = None if rng.random() < 0.05 else DAY0 + timedelta(days=rng.randrange(90))
+        end = None if rng.random() < 0.1 or start is None else start + timedelta(days=rng.randrange(-3, 20))
+        spans.append((None if rng.random() < 0.05 else hot_key(rng), start, end))
+    df = spark.createDataFrame(spans, "k string, s date, e date")
+    got = {r.k: r.most_at_once for r in intervals.most_at_once(df, "k", "s", "e").collect()}
+    want = {}
+    for k, s, e in spans:
+        if k and s and (e is None or e >= s):
+            running = [1 for k2, s2, e2 in spans if k2 == k and s2 and s2 <= s and (e2 is None or s <= e2)]
+            want[k] = max(want.get(k, 0), len(running))
+    assert got == want
+
+
 def test_latest_per_key(spark):
     rows = [("a", 1, 5, "x"), ("a", 3, 1, "y"), ("a", 3, 2, "z"), ("b", None, 9, "n"), ("b", 1, 1, "m"), (None, 2, 1, "q")]
     df = spark.createDataFrame(rows, "k string, batch int, amount int, v string")

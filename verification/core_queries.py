@@ -304,3 +304,16 @@ def _(m):
 )
 def _(m):
     return m.mart_support_summary
+
+
+@query(
+    "restated_nrr",
+    oracle(f"""SELECT *, {rounded(ratio("starting_mrr + expansion_mrr - contraction_mrr - churn_mrr", "starting_mrr") + " * 100", 1)} AS nrr_pct,
+                 {rounded(ratio("starting_mrr + booked_expansion_mrr - booked_contraction_mrr - churn_mrr", "starting_mrr") + " * 100", 1)}
+                   AS booked_nrr_pct, moved_amendments > 0 AS is_restated
+               FROM restated_sums""",
+           DOUBLE="starting_mrr churn_mrr expansion_mrr contraction_mrr booked_expansion_mrr booked_contraction_mrr",
+           BIGINT="moved_amendments"),
+)
+def _(m):
+    return m.restated_nrr

@@ -205,6 +205,10 @@ class Models:
     def mart_nrr(self) -> DataFrame:
         return revenue.mart_nrr(self.movements)
 
+    @cached_property
+    def restated_nrr(self) -> DataFrame:
+        return revenue.restated_nrr(self.movements, self.amendments, self.subscriptions, self.p)
+
     @cached_property
     def mart_support_summary(self) -> DataFrame:
         return support.mart_support_summary(self.tickets_by_region)

@@ -412,6 +412,23 @@ def _(m):
     return quality.profile_subscription_overlap(m.stg_subscriptions)
 
 
+@query(
+    "profile_subscription_overlap_by_period",
+    oracle("""SELECT * FROM (WITH lasting AS (
+                SELECT customer_id, start_date AS opens, coalesce(end_date, DATE '9999-12-31') AS closes, row_number() OVER () AS nr
+                FROM stg_subscriptions WHERE customer_id IS NOT NULL AND (end_date IS NULL OR end_date > start_date)
+              ), meeting AS (
+                SELECT a.nr, a.customer_id, count(*) AS running
+                FROM lasting a JOIN lasting b ON a.customer_id = b.customer_id AND a.opens BETWEEN b.opens AND b.closes
+                GROUP BY ALL
+              )
+              SELECT count(DISTINCT customer_id) FILTER (WHERE running > 1) AS customers_with_overlap,
+                coalesce(max(running), 0) AS most_at_once FROM meeting) AS report"""),
+)
+def _(m):
+    return quality.profile_subscription_overlap(m.stg_subscriptions, by_period=True)
+
+
 @query("profile_date_range", oracle("SELECT batch_id, min(payment_date) AS first_date, max(payment_date) AS last_date FROM stg_payments GROUP BY batch_id"))
 def _(m):
     return quality.profile_date_range(m.stg_payments, "payment_date")
