@@ -67,8 +67,10 @@ def valid_at_join(
     asked = (events if days_of is None else days_of).select(key, F.col(at).alias("_at"))
     days = asked.filter(F.col(key).isNotNull() & F.col("_at").isNotNull()).distinct()
     # Spans are clipped to the days that occur, so open ends stay short.
+    # The count keeps the optimizer from dropping the distinct, so that the shuffle of the days is reused.
     day = F.unix_date("_at")
-    reach = days.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()  # reuses the days' shuffle
+    ends = F.struct(F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("n"))
+    reach = days.agg(ends).scalar()
     first_day, last_day = reach["first"], reach["last"]
     clipped = (
         spans.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
