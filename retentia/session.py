@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,14 +28,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="retentia-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local master without that setting (tests, notebooks) gets a machine-local folder.
+    Only a local master without that setting (tests, notebooks) gets a machine-local folder, which is removed
+    when the process ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="retentia-")
+        shared = _local_folder().name
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

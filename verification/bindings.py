@@ -192,6 +192,14 @@ BINDINGS = {
         cast(o_orderkey % 2 + 2 AS varchar(20)) AS _batch_id
         FROM orders
     """,
+    "raw_partner_referrals": """
+        SELECT 'REF-' || cast(s_suppkey AS varchar(20)) AS referral_id,
+        CASE s_suppkey % 4 WHEN 0 THEN ' customer#' || lpad(cast(s_suppkey * 3 AS varchar(20)), 9, '0') || '@Example.com'
+          WHEN 1 THEN '' ELSE 'partner' || cast(s_suppkey AS varchar(20)) || '@example.com' END AS email,
+        CASE s_suppkey % 4 WHEN 1 THEN 'CUSTOMER - ' || lpad(cast(s_suppkey * 7 AS varchar(20)), 9, '0') WHEN 2 THEN
+          'Customer #' || lpad(cast(s_suppkey * 5 AS varchar(20)), 9, '0') || ' SE' ELSE s_name END AS company_name
+        FROM supplier
+    """,
     "raw_corrections": """
         SELECT 'COR-' || lpad(cast(l_orderkey AS varchar(20)), 9, '0') || '-' || cast(l_linenumber AS varchar(20)) AS correction_id,
         CASE WHEN l_orderkey % 13 = 0 THEN 'unknown' ELSE 'invoice' END AS entity_type,

@@ -8,11 +8,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from retentia import Params, configure
-from retentia.plans import core, health, revenue, signals, staging, support
+from retentia.plans import core, health, referrals, revenue, signals, staging, support
 from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
-BASE_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
+BASE_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
 
 # The three exports of each ticket, spelled as a generator on the Spark side.
 _SPARK_SPELLING = (
@@ -205,6 +205,10 @@ class Models:
     def mart_nrr(self) -> DataFrame:
         return revenue.mart_nrr(self.movements)
 
+    @cached_property
+    def referrals(self) -> DataFrame:
+        return referrals.match_referrals(self.raw("raw_partner_referrals"), self.stg_customers)
+
     @cached_property
     def restated_nrr(self) -> DataFrame:
         return revenue.restated_nrr(self.movements, self.amendments, self.subscriptions, self.p)

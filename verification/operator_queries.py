@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from retentia.functions.calendar import month_start
 from retentia.operators import access, intervals, totals, versions
-from retentia.plans import core, health, quality, revenue, serving, signals, staging
+from retentia.plans import core, health, quality, referrals, revenue, serving, signals, staging
 from verification.oracle import FROM, UNTIL, month, oracle, rounded
 from verification.registry import query
 
@@ -111,6 +111,16 @@ def _(m):
     return m.stg_invoices.join(patched, "invoice_id", "left_semi").select("invoice_id", "customer_id", "status")
 
 
+@query("match_referrals", oracle("SELECT * FROM referral_matches"))
+def _(m):
+    return m.referrals
+
+
+@query("unmatched_referrals", oracle("SELECT referral_id, email, company_name FROM referral_matches WHERE matched_by IS NULL"))
+def _(m):
+    return referrals.unmatched_referrals(m.referrals)
+
+
 # --- aggregations -----------------------------------------------------------------------------
 
 
