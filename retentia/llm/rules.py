@@ -20,6 +20,7 @@ WINDOW = 8
 SPREADS = {"length": 0.3, "word_length": 0.05, "symbols": 0.07, "dup_lines": 0.15, "repeats": 0.1, "variety": 0.03}
 NAMES = tuple(SPREADS)
 P = len(NAMES)
+FEWEST = 5 * P  # rows from which a covariance of so many statistics is estimated
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -105,6 +106,27 @@ def grouped(stats: DataFrame, least: int) -> DataFrame:
     return out.drop("small")
 
 
+def widened(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with the group they are judged by, and the rows that the estimate of each group is made from.
+
+    These are the same but for a rest of under ``least`` rows that stays after all pooling: it is judged by
+    all rows of the language, or, where these are under ``least`` too, by all rows of the table.
+    """
+    rest = F.col("group") == "all"
+    if not 0 < rows.filter(rest).limit(least).count() < least:
+        return rows, rows
+    wide = rows.withColumn("wide", F.concat(F.lit("whole "), _group(F.col("lang"))))
+    sizes = wide.groupBy("wide").agg(F.count(F.lit(1)).alias("rows"), F.max(rest).alias("needed")).filter("needed")
+    own = F.when(F.col("rows") >= least, F.col("wide")).otherwise("table").alias("own")
+    found = stored(sizes.select("wide", own), "wide-groups")
+    base = rows.filter(~rest)
+    base = base.unionByName(wide.join(found.filter("own = wide"), "wide").withColumn("group", F.col("own")).select(*rows.columns))
+    if found.filter("own = 'table'").count() and rows.limit(FEWEST).count() >= min(least, FEWEST):
+        base = base.unionByName(rows.withColumn("group", F.lit("table")))
+    judged_by = F.when(rest, F.col("own")).otherwise(F.col("group"))
+    return wide.join(found, "wide", "left").withColumn("group", judged_by).select(*rows.columns), base
+
+
 def _moments(rows: DataFrame) -> DataFrame:
     """Mean and covariance per group, by sums that combine map-side."""
     products = [F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(NAMES) for b in NAMES[i:]]
@@ -185,12 +207,13 @@ def judged(docs: DataFrame, quantile: float = 1 - 1e-9, least: int = 100) -> Dat
     A document is kept unless it has under 20 words, over 30 % of repeated words, or statistics beyond the
     chi-square ``quantile`` of the robust estimate of its language and source. Groups of under ``least`` rows
     are pooled with their like in the language, then with all such; what is then left under ``least`` is
-    judged by the base rules alone. Null texts have no words; null languages and sources are groups of their
+    judged by the estimate of its whole language, or else of the whole table. Only a table of under 30 rows
+    (or ``least``, if that is fewer) is judged by the base rules alone. Null texts have no words; null languages and sources are groups of their
     own; repeated rows count each; no documents, no rows; other columns are ignored.
     """
     rows = stored(grouped(stored(statistics(docs), "statistics"), least), "statistics-grouped")
-    sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= least)
-    fit = estimates(rows).join(sizes.select("group"), "group", "left_semi")
+    rows, base = widened(rows, least)
+    fit = estimates(base)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     limit = chi_square(quantile, P)
     found = rows.join(fit, "group", "left").withColumns({"base_failed": failed, "distance": _distance() / F.col("scale")})

@@ -336,6 +336,22 @@ def test_outliers_do_not_mask_each_other(session, tmp_path_factory):
     assert not any(r.base_failed for r in found)
 
 
+def test_small_groups_are_judged(session, tmp_path_factory):
+    rng = random.Random(8)
+    good = lambda: " ".join(rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(rng.randrange(60, 300)))
+    bad = lambda: " ".join(rng.choice(["###", "x", "$$", "|||"]) + str(rng.randrange(999)) for _ in range(150))
+    kinds = [("en", "s")] * 300 + [("de", "s")] * 150 + [("de", "t")] * 12 + [("fi", "s")] * 9 + [("fi", "t")] * 9
+    junk = {i for i in range(450, len(kinds)) if i % 6 == 0}
+    rows = [(i, bad() if i in junk else good(), *kind, *[None] * 6) for i, kind in enumerate(kinds)]
+    found = rules.judged(stored(session, rows, tmp_path_factory)).collect()
+    assert {r.doc_id for r in found if not r.kept} == junk and len(junk) == 5
+    assert len(found) == len(rows) and all(r.distance is not None for r in found)
+    for n, judged in ((rules.FEWEST, True), (rules.FEWEST - 1, False)):
+        some = rules.judged(stored(session, rows[-n:], tmp_path_factory, 1)).collect()
+        assert len(some) == n and all((r.distance is not None) == judged for r in some)
+        assert {r.doc_id for r in some if not r.kept} == ({i for i in junk if i >= len(rows) - n} if judged else set())
+
+
 def test_chi_square():
     assert abs(rules.chi_square(0.95, 6) - 12.592) < 0.05 and abs(rules.chi_square(0.5, 6) - 5.348) < 0.05
 
