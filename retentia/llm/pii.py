@@ -11,6 +11,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE = 4  # the first kinds; spans of the others are added by the method
 
+# The length of an account number by its country (the IBAN registry, and countries that use it unlisted).
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account_numbers() -> str:
+    """Each country's length in blocks of four, with or without spaces; the next number may follow at once."""
+    start = f"(?:{'|'.join(c for countries in LENGTHS.values() for c in countries.split())})[0-9]{{2}}"
+    kinds = []
+    for n, countries in LENGTHS.items():
+        rest = rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+        kinds.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}")
+    return rf"(?:\G|(?<![A-Za-z0-9]))(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(kinds)})(?:(?![A-Za-z0-9])|(?={start}))"
+
+
 # What a span looks like. The guards before email, ip and iban let a search start only where a
 # run of characters begins or the last span ended, which finds the same spans in time linear in the run.
 PATTERNS = {
@@ -18,7 +38,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?:\G|(?<![A-Za-z0-9]))[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _account_numbers(),
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 

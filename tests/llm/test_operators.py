@@ -417,6 +417,29 @@ def test_account_numbers_and_context(session, tmp_path_factory):
     assert found[2] == ("", "") and found[3] == ("iban:13:35", "0.6")
 
 
+def test_account_numbers_end_where_the_country_says(session, tmp_path_factory):
+    numbers = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874"]
+    numbers += ["NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "SE45 5000 0000 0583 9825 7466"]
+    numbers += [n.replace(" ", "") for n in numbers]
+    texts, expected = [], []
+    for n in numbers:
+        for after in ("", ".", " BIC CAIXESBBXXX", " 20 EUR", " 1234 5678", " A", "/x"):
+            texts.append(f"to {n}{after}")
+            expected.append([(3, 3 + len(n))])
+        for other in numbers:
+            for between in (" ", ""):
+                texts.append(f"to {n}{between}{other} BIC X")
+                second = 3 + len(n) + len(between)
+                expected.append([(3, 3 + len(n)), (second, second + len(other))])
+        for wrong in (f"to {n[:-1]}{(int(n[-1]) + 1) % 10 if n[-1].isdigit() else 'T'}", f"to {n}9", f"to {n}x", f"to a{n}", f"to {n[:-1]} BIC"):
+            texts.append(wrong)
+            expected.append([])
+    docs = stored(session, rows_of(texts), tmp_path_factory)
+    found = {r.doc_id: r.found for r in pii.personal_data(docs).collect()}
+    for i, t in enumerate(texts):
+        assert [(x.start, x.end) for x in found[i] if x.kind == "iban"] == expected[i], t
+
+
 # --- repeated substrings ---
 
 
