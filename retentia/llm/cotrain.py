@@ -36,7 +36,7 @@ def text_features(text: bytes) -> np.ndarray:
     marks = len(text) - len(text.translate(None, MARKS))
     digits = len(text) - len(text.translate(None, b"0123456789"))
     x[WORDS:] = (
-        math.log1p(n) / 10, len(text) / n / 10, math.sqrt(marks / n), math.sqrt(digits / n), len(seen) / n,
+        math.log1p(n) / 10, math.log1p(len(text) / n) / 2, math.sqrt(marks / n), math.sqrt(digits / n), len(seen) / n,
         math.log1p(len(seen)) / math.log1p(n), 1 - len(set(lines)) / len(lines), max(seen.values()) / n,
         min(5.0, n / len(lines) / 20), min(3.0, text.count(b".") / n * 5),
     )
@@ -139,7 +139,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 3000) -> CoTrained:
     """A model from bounded samples: about ``labelled`` documents (half of each class where there are as many)
-    and ``pool`` without a label, chosen by hash. Contradicting labels of a document count as low quality."""
+    and ``pool`` without a label, chosen by hash; their features, about 31 MB, are collected. Contradicting
+    labels of a document count as low quality."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
     chosen = bounded_sample(known, "y", labelled // 2, labelled, "labels", F.col("doc_id"))  # so many rows at most, in expectation
     own = docs.select(*COLUMNS)
@@ -150,11 +151,11 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int =
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
-            views = [[v.astype(np.float16).tobytes() for v in x] for x in _features(batch)]
+            views = [[v.tobytes() for v in x] for x in _features(batch)]
             yield pa.record_batch([batch["doc_id"], pa.array(views[0], pa.binary()), pa.array(views[1], pa.binary()), batch["y"]], names=["doc_id", "text", "meta", "y"])
 
     found = sorted(map(tuple, rows.mapInArrow(task, "doc_id long, text binary, meta binary, y int").collect()), key=lambda r: (r[0] is None, r))
-    views = [np.array([np.frombuffer(r[i], np.float16) for r in found], np.float32).reshape(len(found), d) for i, d in ((1, WORDS + SHAPE), (2, META))]
+    views = [np.array([np.frombuffer(r[i], np.float32) for r in found], np.float32).reshape(len(found), d) for i, d in ((1, WORDS + SHAPE), (2, META))]
     return CoTrained.fit(tuple(views), np.array([r[3] for r in found], int))
 
 

@@ -570,6 +570,17 @@ def test_cotraining_of_documents(session, tmp_path_factory):
     assert [round(r.score, 6) for r in none] == [0.5]
 
 
+@pytest.mark.parametrize("unbroken", ["ab" * 500_000, "7" * 1_000_000])
+def test_cotraining_with_an_unbroken_text(session, tmp_path_factory, unbroken):
+    rng = random.Random(22)
+    texts = [" ".join(rng.choices(WORDS, k=80)) if i % 4 else " | ".join(rng.choices(["###", "x", "$$"], k=60)) for i in range(200)]
+    long = range(0, 40, 8)  # some are fitted on, whichever are kept for calibration
+    docs = stored(session, rows_of([unbroken if i in long else t for i, t in enumerate(texts)]), tmp_path_factory)
+    labels = session.createDataFrame([(i, int(i % 4 > 0)) for i in range(200) if i % 3 == 0 or i in long], "doc_id long, quality int")
+    found = cotrain.scored(docs, cotrain.train(docs, labels)).collect()
+    assert len(found) == 200 and all(0 <= r.text_score <= 1 and r.kept == bool(r.doc_id % 4) for r in found)
+
+
 def test_row_numbers_do_not_depend_on_cores(session, docs):
     """A lost executor must not change how a table is cut between two reads of its row numbers."""
     name = "spark.sql.leafNodeDefaultParallelism"
