@@ -35,6 +35,7 @@ class SharedTrie:
     def __init__(self, scores: dict[str, float], nodes: int = 1_000_000, longest: int = 64):
         self.scores, self.limit, self.longest = scores, nodes, longest
         self.ends = {p[i:]: scores.get(p[i:]) for p in scores for i in range(len(p))}
+        self.joined = {p[i - 1 : i + 1] for p in scores for i in range(1, len(p)) if p[i] in punctuation and p[i - 1] not in punctuation}
         self.worst = min(scores.values(), default=-10.0) - 10.0
         self._clear()
 
@@ -86,13 +87,18 @@ class SharedTrie:
         return tokens[-1]
 
     def count(self, word: str) -> int:
-        """Tokens of a word: marks at its end are a pre-token of their own, the rest with a blank before it is one."""
+        """Tokens of a word with a blank before it.
+
+        Marks at its end are scored as a pre-token of their own, which keeps the trie small, but only where
+        no piece holds both sides of the cut: then the sum is that of the whole word.
+        """
         if len(self.best) > self.limit:
             self._clear()
         core = word.rstrip(punctuation)
-        found = self.pre_token(BLANK + core) if core else self.pre_token(BLANK + word)
-        if core and len(core) < len(word):
-            found += self.pre_token(word[len(core) :])
+        if core and len(core) < len(word) and word[len(core) - 1 : len(core) + 1] not in self.joined:
+            found = self.pre_token(BLANK + core) + self.pre_token(word[len(core) :])
+        else:
+            found = self.pre_token(BLANK + word)
         if len(word) <= self.longest:
             self.words[word] = found
         return found

@@ -298,6 +298,14 @@ def test_tokens(docs, texts):
         assert {r.doc_id: (r.n_words, r.n_tokens) for r in tokens.token_counts(docs, vocabulary(), nodes).collect()} == expected
 
 
+def test_counts_are_those_of_the_whole_word():
+    trie = tokens.SharedTrie(tokens.piece_scores(vocabulary()))
+    assert len(trie.joined) > 5 and all(any(j in p for p in trie.scores) for j in trie.joined)
+    words = [w + q + m for w in ("haus", "été", "x1", "l", "…", "»") for q in ("", "»", "”", "’", "—", "…", "é") for m in (".", ",", '"', "...", '.",', "!?", ").")]
+    assert {w: trie.count(w) for w in words} == {w: trie.pre_token(tokens.BLANK + w) for w in words}
+    assert sum(tokens.SharedTrie(trie.scores).pre_token(tokens.BLANK + w) < trie.pre_token(tokens.BLANK + w.rstrip(punctuation)) + trie.pre_token(w[len(w.rstrip(punctuation)) :]) for w in words) > 5
+
+
 def test_a_shared_prefix_is_scored_once(monkeypatch):
     trie = tokens.SharedTrie({"a": -1.0, "b": -1.0, "ab": -1.5, "c": -3.0})
     calls = []
