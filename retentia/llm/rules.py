@@ -17,7 +17,7 @@ WINDOW = 8
 
 # Transformed statistics and the least spread each is given, so that a statistic which is the same for most
 # documents of a source doesn't make every other value an outlier.
-SPREADS = {"length": 0.3, "word_length": 0.05, "symbols": 0.07, "dup_lines": 0.15, "repeats": 0.1, "variety": 0.03}
+SPREADS = {"length": 0.3, "word_length": 0.05, "symbols": 0.07, "dup_lines": 0.12, "repeats": 0.1, "variety": 0.03}
 NAMES = tuple(SPREADS)
 P = len(NAMES)
 FEWEST = 5 * P  # rows from which a covariance of so many statistics is estimated

@@ -360,6 +360,16 @@ def test_small_groups_are_judged(session, tmp_path_factory):
         assert {r.doc_id for r in some if not r.kept} == ({i for i in junk if i >= len(rows) - n} if judged else set())
 
 
+def test_repeated_lines_alone_are_an_outlier(session, tmp_path_factory):
+    rng = random.Random(9)
+    line = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(n))
+    menu = line(7).replace(" ", "\n")  # with a line of its own after each, so that no eight words repeat
+    texts = ["\n".join(line(20) for _ in range(rng.randrange(10, 50))) for _ in range(200)] + ["\n".join(f"{menu}\n{line(20)}" for _ in range(30))]
+    found = {r.doc_id: r for r in rules.judged(stored(session, rows_of(texts), tmp_path_factory)).collect()}
+    assert found[200].n_repeat_words == 0 and found[200].n_dup_lines == 29 * 7
+    assert [i for i, r in found.items() if not r.kept] == [200]
+
+
 def test_chi_square():
     assert abs(rules.chi_square(0.95, 6) - 12.592) < 0.05 and abs(rules.chi_square(0.5, 6) - 5.348) < 0.05
 
