@@ -458,6 +458,16 @@ def test_account_numbers_end_where_the_country_says(session, tmp_path_factory):
         assert [(x.start, x.end) for x in found[i] if x.kind == "iban"] == expected[i], t
 
 
+def test_labels_decide_about_account_numbers(session, tmp_path_factory):
+    n = "GB82WEST12345698765432"
+    kept = {"IBAN, serial number: ": "0.8", "serial numbers are on the back, pay to ": "0.6", "part no 7 ": "0.8", "my serial number is old " * 4: "0.6"}
+    kept = {f"{before}{n}": score for before, score in kept.items()}
+    kept[f"pay {n}, invoice number 12"] = "0.8"
+    dropped = [f"{before}{n} ok" for before in ("serial number: ", "Serial No. ", "Seriennummer ", "part-no #", "licence key=")]
+    found = pii.digest(pii.personal_data(stored(session, rows_of([*kept, *dropped]), tmp_path_factory)))
+    assert {r.doc_id: r.scores for r in found.collect()} == dict(enumerate([*kept.values(), *[""] * len(dropped)]))
+
+
 # --- repeated substrings ---
 
 
