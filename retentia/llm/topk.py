@@ -67,6 +67,8 @@ def _postings(width: int):
 class Block:
     """Postings of one block: flat members by dimension, cut into segments with their extreme values."""
 
+    few = 1 / 8
+
     def __init__(self, entries: pa.Table):
         columns = [entries[c].to_pylist() for c in ("members", "sizes", "highs", "lows", "exact")]
         by_dim = {dim: [c[i] for c in columns] for i, dim in enumerate(entries["dim"].to_pylist())}
@@ -95,24 +97,23 @@ class Block:
         """The ``k`` best (local number, score) but the query's own row.
 
         An accumulator holds the greatest contributions that the segments read so far allow; what a vector
-        can still get is at most the greatest contribution left in each dimension. Segments are read in
-        rounds of descending contribution. After each, the exact scores of the best accumulators give a
-        score that k vectors reach; only vectors whose bound reaches it can be among the best. Reading stops
-        when scoring these exactly costs less than reading on, at the latest when all that is left to read
-        cannot add anything, so the bound is proof in every case.
+        can still get is at most the greatest contribution left in each dimension, and nothing where only
+        negative ones are left. Segments are read in rounds of descending contribution. After each, the exact
+        scores of the best accumulators give a score that k vectors reach; only vectors whose bound reaches
+        it can be among the best. Reading stops when these are few (``few`` of the block), at the latest with
+        the last segment, and they are scored exactly, so the bound is proof in every case.
         """
         n, query = len(self.rows), np.zeros(self.vectors.shape[1], np.int64)
         shared = min(len(query), len(vector))
         query[:shared] = vector[:shared]
         weight = query.astype(np.float64)[self.dims]
         most = np.where(weight > 0, weight * self.highs, weight * self.lows)
-        usual = float(most @ self.sizes) / max(1, int(self.sizes.sum()))
-        usual = max(usual, float(np.abs(most) @ self.sizes) / max(1, int(self.sizes.sum())))
+        usual = float(np.abs(most) @ self.sizes) / max(1, int(self.sizes.sum()))
         slack = 1e-12 * self.largest * float(np.abs(weight).max(initial=0)) * (len(query) + 1)  # rounding of huge values
         bound, before = np.zeros(n), math.inf
         open_rows = np.ones(n, bool)
         open_rows[[i for i, r in enumerate(self.rows) if r == own_row]] = False
-        for least in (2 * usual, usual / 2, 0.0):
+        for least in (2 * usual, usual / 2, 0.0, -usual / 2, -2 * usual, -math.inf):
             read = np.flatnonzero((most > least) & (most <= before))
             before = least
             if len(read):
@@ -131,7 +132,7 @@ class Block:
                 possible = np.flatnonzero(open_rows)
             else:
                 possible = np.flatnonzero(able >= reached[k - 1] - slack)
-            if len(possible) * len(query) <= 4 * int(self.sizes[unread].sum()):  # a posting costs about as much as four products
+            if len(possible) <= max(some, self.few * n):
                 break
         scores = self.exact(possible, query)
         if len(possible) > k:
