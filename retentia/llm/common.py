@@ -73,18 +73,17 @@ def hash_share(seed: str, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def bounded_sample(rows: DataFrame, key: str, per_key: int, total: int, seed: str, identity: Column) -> DataFrame:
-    """About ``per_key`` rows of each ``key`` and ``total`` in all, chosen by hash.
+def bounded_sample(rows: DataFrame, key: str, per_key: int, total: int, seed: str, *identity: Column) -> DataFrame:
+    """About ``per_key`` rows of each ``key`` and ``total`` in all, chosen by a hash of ``identity``.
 
-    One pass counts the rows of each key (combined map-side); the rate of each key then is a literal.
-    Keys beyond the 1,000 most frequent are left out, which bounds what the driver holds.
+    One pass counts the rows of each key (combined map-side), and the rates are joined to the rows, so there
+    may be any number of keys; of more than ``total`` keys, each has a row by chance. Nothing is collected.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), key).limit(1000).collect()
-    if not counts:
-        return rows.limit(0)
-    share = min(per_key, max(1, total // len(counts)))
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r[key], min(1.0, share / r["n"]))])
-    return rows.filter(hash_share(seed, identity) < F.try_element_at(rate, F.col(key)))
+    counts = stored(rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    keys = counts.count()
+    share = min(float(per_key), total / max(1, keys))
+    rates = counts.select("_key", (F.lit(share) / F.col("_n")).alias("_rate"))
+    return rows.join(rates, F.col(key) == F.col("_key")).filter(hash_share(seed, *identity) < F.col("_rate")).drop("_key", "_rate")
 
 
 Task = Callable[[Batches], Batches]

@@ -139,15 +139,17 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 3000) -> CoTrained:
     """A model from bounded samples: about ``labelled`` documents (half of each class where there are as many)
-    and ``pool`` without a label, chosen by hash; their features, about 31 MB, are collected. Contradicting
+    and ``pool`` without a label, chosen by a hash of id and text; their features, about 31 MB, are collected.
+    Rows that repeat id and text are taken once, so null or repeated ids don't swell the samples. Contradicting
     labels of a document count as low quality."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    chosen = bounded_sample(known, "y", labelled // 2, labelled, "labels", F.col("doc_id"))  # so many rows at most, in expectation
     own = docs.select(*COLUMNS)
+    marked = own.join(known, "doc_id").select(*COLUMNS, "y")
+    chosen = bounded_sample(marked, "y", labelled // 2, labelled, "labels", F.col("doc_id"), F.col("text"))  # in expectation
     n = docs.count()
-    some = own.filter(hash_share("pool", F.col("doc_id")) < min(1.0, 1.3 * pool / max(1, n)))
+    some = own.filter(hash_share("pool", F.col("doc_id"), F.col("text")) < min(1.0, 1.3 * pool / max(1, n)))
     some = some.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(-1))
-    rows = own.join(F.broadcast(chosen), "doc_id").select(*COLUMNS, "y").unionByName(some)
+    rows = chosen.unionByName(some).dropDuplicates()
 
     def task(batches: Batches) -> Batches:
         for batch in batches:

@@ -119,8 +119,9 @@ GROUPS = pa.schema([("digest", pa.binary()), ("points", pa.int64()), ("keep_id",
 GROUPS_SQL = "digest binary, points long, keep_id long, keep_row long, group_size long"
 
 
-def _combine(live: int | None):
-    """Groups by digest of what a task reads; beyond ``live`` groups, all are handed on and deleted."""
+def _combine(live: int):
+    """Groups by digest of what a task reads. A new digest beyond ``live`` makes room: all groups are handed on
+    and deleted. Rows in digest order therefore give whole groups, in any other order parts of them."""
 
     def rank(row: tuple) -> tuple:
         return -row[0], row[1] is None, row[1] or 0, row[2]
@@ -139,9 +140,9 @@ def _combine(live: int | None):
                 slot = index.find(key)
                 best = (points, doc, row)
                 if slot < 0:
-                    index.insert(key, [best, n])
-                    if live and index.size >= live:
+                    if index.size >= live:
                         yield from handed_on()
+                    index.insert(key, [best, n])
                 else:
                     group = index.values[slot]
                     group[0], group[1] = min(group[0], best, key=rank), group[1] + n
@@ -158,14 +159,16 @@ def exact_duplicates(docs: DataFrame, live: int = 100_000) -> DataFrame:
     the first row, so exactly one of repeated rows stays. No documents, no rows; other columns are ignored.
 
     Every task first folds the copies it reads through an index of at most ``live`` digests, so a text that
-    makes up a third of all rows sends a few rows to its shard. Shards are hash partitions of the digest;
+    makes up a third of all rows sends a few rows to its shard. Shards are hash partitions of the digest,
+    read in digest order through an index of the same size, so memory does not grow with a shard;
     the content that hits are verified against is the full 256-bit digest of the normalised text. A size is
     looked up for each row by an equi join whose hot keys Spark splits.
     """
     rows = stored(numbered(docs, "doc_id", "text").mapInArrow(_digests, "row long, doc_id long, digest binary, points long"), "digests")
     single = rows.select("digest", "points", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("group_size"))
     partial = single.mapInArrow(_combine(live), GROUPS_SQL)
-    groups = partial.repartition("digest").mapInArrow(_combine(None), GROUPS_SQL).drop("points")
+    shards = partial.repartition("digest").sortWithinPartitions("digest")
+    groups = shards.mapInArrow(_combine(live), GROUPS_SQL).drop("points")
     return rows.join(groups, "digest").select(
         "row", "doc_id", "keep_id", "keep_row", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),

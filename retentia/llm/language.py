@@ -115,9 +115,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, per_language: int = 300, total: int = 2400) -> LanguageModel:
-    """A model of the languages of a sample, bounded by about ``per_language`` and ``total`` whole texts."""
+    """A model of the languages of a sample, bounded by about ``per_language`` and ``total`` whole texts, repeated rows once."""
     usable = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = bounded_sample(usable, "lang", per_language, total, "language", F.col("doc_id"))
+    sample = bounded_sample(usable, "lang", per_language, total, "language", F.col("doc_id")).dropDuplicates(["doc_id", "lang", "text"])
 
     def task(batches: Batches) -> Batches:
         for batch in batches:

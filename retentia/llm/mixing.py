@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retentia.llm.common import free_name, hash_share, stored
+from retentia.llm.common import fixed_splits, free_name, hash_share, stored
 
 PART = 16.0  # mean of one inversion; larger means are sums of several
 STEPS = 100  # terms of the distribution function: at a mean of 16 the rest is far below 2**-52
@@ -51,19 +51,22 @@ def replicated(
 
     The rates have one row per source and are read from storage, so Spark knows their size: it broadcasts
     them when small and else splits the hot sources of a sort-merge join. The only shuffle of texts is the
-    global one, by a hash of identity and copy, with each task's rows in hash order.
+    global one, by a hash of row, identity and copy, with each task's rows in hash order: rows without an id
+    or with the same one spread like all others. ``docs`` is a stored table, so that its rows are numbered
+    alike when a task runs again.
     """
     rates = stored(source_rates(docs, source, targets, total).drop("n"), "rates")
     name = free_name(docs, copy)
     there = [F.col(f"`{c}`") for c in docs.columns]
-    own = docs.select(F.struct(*there).alias("_doc"))
+    fixed_splits(docs.sparkSession)
+    own = docs.select(F.struct(*there).alias("_doc"), F.monotonically_increasing_id().alias("_row"))
     joined = own.join(rates, F.col(f"_doc.`{source}`").eqNullSafe(F.col("source")))
     key = F.col(f"_doc.`{identity}`")
 
     hashes = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: hash_share(seed, key, part))
     n = F.aggregate(hashes, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u))).cast("long")
-    drawn = joined.filter("rate > 0").select("_doc", n.alias("_n")).filter("_n > 0")
-    copies = drawn.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy"))
-    order = F.xxhash64(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")), "_copy")
+    drawn = joined.filter("rate > 0").select("_doc", "_row", n.alias("_n")).filter("_n > 0")
+    copies = drawn.select("_doc", "_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy"))
+    order = F.xxhash64(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")), "_row", "_copy")
     mixed = copies.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order")
     return mixed.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns], F.col("_copy").alias(name))

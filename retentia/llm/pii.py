@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret", "national")
 BASE = 4  # the first kinds; spans of the others are added by the method
 
 # The length of an account number by its country (the IBAN registry, and countries that use it unlisted).
@@ -39,17 +39,35 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": _account_numbers(),
+    "secret": (
+        r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----|(?:\G|(?<![A-Za-z0-9+/_.-]))"
+        r"(?:eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}+(?!\x20?[=:]\x20?[\"'A-Za-z0-9])={0,2})"
+    ),
+    "national": (
+        r"(?<![A-Za-z0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{8}-?[A-Z]|[XYZ]-?[0-9]{7}-?[A-Z]"
+        r"|[12]\x20?[0-9]{2}\x20?(?:0[1-9]|1[0-2])\x20?[0-9]{2}\x20?[0-9]{3}\x20?[0-9]{3}\x20?[0-9]{2})(?![A-Za-z0-9-])"
+    ),
 }
+# Credentials that say what they are by their first characters.
+KNOWN_SECRET = (
+    r"^(?:-----BEGIN|eyJ[A-Za-z0-9_-]+\.eyJ|(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{36,}$|github_pat_|glpat-[A-Za-z0-9_-]{20}"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}$|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}$|npm_[A-Za-z0-9]{36}$)"
+)
+# Check letters of Spanish identity numbers, by the remainder modulo 23.
+LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 # The score of a confirmed span, and words within 40 characters that raise or lower it by 0.2.
-SCORES = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8}
+# Any other long run of letters and digits, and a number that anything may have, is a finding only with a word for it.
+SCORES = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "secret": 0.4, "national": 0.4}
 FOR = {
     "email": r"(?i)mail|contact|kontakt|correo|courriel",
     "ip": r"(?i)\bip\b|address|adresse|host|server|login",
     "card": r"(?i)card|karte|carte|tarjeta|visa|credit|payment",
     "phone": r"(?i)phone|tel|call|mobile|handy|fax",
     "iban": r"(?i)iban|account|konto|compte|cuenta|bank",
+    "secret": r"(?i)token|secret|api[_ -]?key|access[_ -]?key|private[_ -]?key|passw|passphrase|auth|bearer|credential|kennwort|contraseñ|mot de passe",
+    "national": r"(?i)\bssn\b|social security|\bdni\b|\bnie\b|identidad|s[eé]curit[eé] sociale|\bnir\b|\binsee\b|national id|identity",
 }
 AGAINST = {
     "email": r"(?i)example|noreply",
@@ -57,6 +75,8 @@ AGAINST = {
     "card": r"(?i)isbn|order|serial|invoice|tracking",
     "phone": r"(?i)score|total|version",
     "iban": r"(?i)serial|key|token",
+    "secret": r"(?i)sha-?[0-9]|md5|checksum|commit|digest|uuid|etag",
+    "national": r"(?i)order|serial|invoice|part n|isbn",
 }
 # A label right before a span that calls it something else, by which the score falls by another 0.4 if no word is for it.
 LABELS = {
@@ -96,9 +116,31 @@ def _confirmed(kind: str, text: Column) -> Column:
         return F.length(_digits(text)).between(9, 15)
     if kind == "iban":
         return F.when(F.length(F.replace(text, F.lit(" "), F.lit(""))).between(15, 34), _mod97(text) == 1).otherwise(False)
+    if kind == "secret":
+        mixed = text.rlike("[0-9]") & text.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(text, ""))) >= 10)
+        account = F.when(text.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), _mod97(text) == 1).otherwise(False)
+        return text.rlike(KNOWN_SECRET) | (mixed & ~account)
+    if kind == "national":
+        return _national(text)
     return F.lit(True)
 
 
+def _national(text: Column) -> Column:
+    """Numbers of four countries' forms: valid areas and groups, check letters modulo 23, a check key modulo 97."""
+    digits = _digits(text)
+    social = ~text.rlike("^(?:000|666|9)|-00-|-0000$")
+    number = F.concat(F.translate(F.regexp_extract(text, "^[XYZ]", 0), "XYZ", "012"), digits).try_cast("long")
+    letter = F.right(text, F.lit(1)) == F.substring(F.lit(LETTERS), (number % 23 + 1).cast("int"), F.lit(1))
+    key = F.substring(digits, 1, 13).try_cast("long") % 97 + F.substring(digits, 14, 2).try_cast("long") == 97
+    found = F.when(text.rlike("^[0-9]{3}-"), social).when(text.rlike("[A-Z]$"), letter).otherwise(key)
+    return F.coalesce(found, F.lit(False))
+
+
+def _score(kind: str, text: Column) -> Column:
+    plain = F.lit(SCORES[kind])
+    return F.when(text.rlike(KNOWN_SECRET), 0.9).otherwise(plain) if kind == "secret" else plain
+
+
 def _possible(kind: str) -> Column:
     """A cheap test that every text with such a span passes."""
     tests = {
@@ -107,6 +149,8 @@ def _possible(kind: str) -> Column:
         "card": F.col("text").rlike(r"[0-9][\x20-]?[0-9]"),
         "phone": F.contains("text", F.lit("+")),
         "iban": F.col("text").rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
+        "secret": F.col("text").rlike(r"[A-Za-z0-9+/_-]{16}|-----BEGIN|eyJ"),
+        "national": F.col("text").rlike(r"[0-9]{2}-[0-9]{4}|[0-9]{7}-?[A-Z]|[12]\x20?[0-9]{2}\x20?[01][0-9]\x20?[0-9]{2}\x20?[0-9]{3}"),
     }
     return tests[kind]
 
@@ -148,7 +192,7 @@ def _spans(kind: str) -> Column:
             _confirmed(kind, text),
             F.struct(
                 (end - F.length(text)).alias("start"), F.lit(number).alias("number"), end.alias("end"),
-                F.lit(kind).alias("kind"), F.round(F.lit(SCORES[kind]) + raised, 2).alias("score"),
+                F.lit(kind).alias("kind"), F.round(_score(kind, text) + raised, 2).alias("score"),
             ),
         )
 
@@ -159,7 +203,9 @@ def personal_data(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Per row: ``doc_id`` and ``found``, an array of (start, number, end, kind, score) in order.
 
     Places are code points, ends exclusive. The base kinds are always kept; spans the method adds need a
-    score of ``least``, which a label such as "serial number:" takes from them where no word speaks for them. Null texts count as empty; repeated rows get equal results; no documents, no rows;
+    score of ``least``, which a label such as "serial number:" takes from them where no word speaks for them.
+    Secrets are private keys, tokens of known form, and other runs of 16 or more mixed letters and digits
+    beside a word such as "token"; national numbers have valid check digits or groups and such a word too. Null texts count as empty; repeated rows get equal results; no documents, no rows;
     other columns are ignored. Work and memory are linear in the text.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

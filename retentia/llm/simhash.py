@@ -166,10 +166,11 @@ def fingerprint_links(fps: DataFrame, distance: int, blocks: int, tile: int) ->
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 7, tile: int = 8192) -> DataFrame:
-    """Per row of ``docs``: ``row``, ``doc_id``, ``fp`` (signed 64 bits), ``component_id``.
+    """Per row of ``docs``: ``row``, ``doc_id``, ``fp`` (signed 64 bits), ``component_id``, ``root``.
 
     Fingerprints that differ in at most ``distance`` bits are linked; the component of a document is the
-    smallest ``doc_id`` reachable (null only if no document there has one). Null and empty texts and texts
+    smallest ``doc_id`` reachable (null only if no document there has one), its root the least fingerprint,
+    which tells components apart whose documents share ids or have none. Null and empty texts and texts
     without a word have fingerprint zero. Repeated rows share a fingerprint; no documents, no rows; other
     columns are ignored.
 
@@ -182,11 +183,15 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks:
     roots = components(fingerprint_links(distinct.select("fp"), distance, blocks, tile), "a", "b")
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select("row", "doc_id", "fp", "component_id")
+    labels = rooted.join(smallest, "root").select("fp", "component_id", "root")
+    return rows.join(labels, "fp").select("row", "doc_id", "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component: the smallest ``doc_id``, the first row of it; ``docs`` is a stored table."""
-    groups = simhash_groups(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return keep_rows(docs, groups.groupBy("doc_id").agg(F.min("row").alias("row")))
+    """One document of each component: the smallest ``doc_id``, null last, and the first row of it; ``docs`` is a stored table.
+
+    Components are told apart by their fingerprints, so documents with null or repeated ids are lost only to
+    a near copy.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    return keep_rows(docs, simhash_groups(docs, **options).groupBy("root").agg(first.alias("first")).select("first.row"))
