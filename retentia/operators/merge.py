@@ -98,10 +98,19 @@ def scd2_snapshot(
     opened = current.withColumns({"valid_from": F.lit(as_of), "valid_to": F.lit(None).cast("date")})
     if history is None:
         return opened
-    data = list(current.columns)
     history = evolve_schema(history, current)
     closed = history.filter("valid_to IS NOT NULL")
-    live = history.filter("valid_to IS NULL").select(F.struct("*").alias("old"), F.col(key).alias("_key"))
+    return closed.unionByName(scd2_step(history.filter("valid_to IS NULL"), current, key, as_of, close_deleted))
+
+
+def scd2_step(live: DataFrame, current: DataFrame, key: str, as_of: date, close_deleted: bool = False) -> DataFrame:
+    """What the open rows become with one more snapshot: open rows, and those that it closes.
+
+    Rows that are closed already take no part, so a store can leave them where they are.
+    """
+    data, opened = list(current.columns), current.withColumns({"valid_from": F.lit(as_of), "valid_to": F.lit(None).cast("date")})
+    history = evolve_schema(live, current)
+    live = history.select(F.struct("*").alias("old"), F.col(key).alias("_key"))
     fresh = opened.select(F.struct("*").alias("new"), F.col(key).alias("_key"))
     same = F.lit(True)
     for c in data:
@@ -125,10 +134,7 @@ def scd2_snapshot(
         ]
         return F.when(has & (~had | changed), F.struct(*parts))
 
-    rows = live.join(fresh, "_key", "full_outer").select(
-        F.inline(F.array_compact(F.array(old_row(), new_row())))
-    )
-    return closed.unionByName(rows)
+    return live.join(fresh, "_key", "full_outer").select(F.inline(F.array_compact(F.array(old_row(), new_row()))))
 
 
 def known_corrections(corrections: DataFrame) -> DataFrame:
@@ -140,7 +146,9 @@ def known_corrections(corrections: DataFrame) -> DataFrame:
 def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) -> DataFrame:
     """Set corrected fields on all rows of the corrected ids; of several patches the last one counts.
 
-    Patches follow the number in their id, then its text; field names match whatever their case.
+    Patches follow the number in their id, then its text; field names match whatever their case. Corrections
+    with a column ``_delivery`` follow that number first, and leave rows of later batches (``_batch_id``) as
+    they were delivered.
 
     Patches become one row per id with a (changed, value) pair per field - an aggregation bounded by
     the number of columns - so the facts take a single left join whatever the number of patches. A
@@ -151,6 +159,8 @@ def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) ->
         return facts
     fields = [c for c in facts.columns if c != "_batch_id"]
     number = F.regexp_extract("correction_id", r"(\d+)", 1).try_cast("decimal(38,0)")
+    dated = "_delivery" in corrections.columns
+    delivery = F.col("_delivery") if dated else F.lit(0)
     last = (
         known_corrections(corrections)
         .withColumn("_field", F.lower(F.trim("field_corrected")))
@@ -158,7 +168,8 @@ def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) ->
         .groupBy("entity_id", "_field")
         .agg(
             F.max_by(
-                F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value")), F.struct(number, "correction_id")
+                F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value"), delivery.alias("delivery")),
+                F.struct(delivery, number, "correction_id"),
             ).alias("patch")
         )
     )
@@ -170,7 +181,10 @@ def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) ->
         if c not in fields:
             return F.col(c)
         value = F.col(f"_p_{c}.value").cast(facts.schema[c].dataType)
-        return F.when(F.col(f"_p_{c}").isNotNull(), value).otherwise(F.col(c)).alias(c)
+        known = F.col(f"_p_{c}").isNotNull()
+        if dated and "_batch_id" in facts.columns:
+            known &= F.col("_batch_id").cast("int") <= F.col(f"_p_{c}.delivery")
+        return F.when(known, value).otherwise(F.col(c)).alias(c)
 
     return facts.join(patches, F.col(key).cast("string") == F.col("_id"), "left").select(
         *[patched(c) for c in facts.columns]
