@@ -172,10 +172,10 @@ def mart_mrr(movements: DataFrame, health: DataFrame) -> DataFrame:
     return df.select(*movements.columns, "health_score", risk_tier(F.col("health_score")).alias("risk_tier"), "mrr_at_risk")
 
 
-def nrr_by_region(movements: DataFrame) -> DataFrame:
-    """Waterfall sums per month and region. A customer has one row per month, so counts need no distinct."""
+def nrr_by_region(movements: DataFrame, *within: str) -> DataFrame:
+    """Waterfall sums per month and region, and per ``within``. A customer has one row per month, so counts need no distinct."""
     prev = F.coalesce("prev_mrr", F.lit(0))
-    return movements.groupBy("mrr_month", "region").agg(
+    return movements.groupBy(*within, "mrr_month", "region").agg(
         F.sum("new_mrr_amount").alias("new_mrr"),
         F.sum("expansion_mrr").alias("expansion_mrr"),
         F.sum("contraction_mrr").alias("contraction_mrr"),
@@ -191,7 +191,11 @@ def nrr_by_region(movements: DataFrame) -> DataFrame:
 
 def mart_nrr(movements: DataFrame) -> DataFrame:
     """Monthly waterfall and retention ratios per region and for ``ALL``."""
-    detail = nrr_by_region(movements)
+    return retention(nrr_by_region(movements))
+
+
+def retention(detail: DataFrame) -> DataFrame:
+    """:func:`mart_nrr` from waterfall sums, which may come in several parts per month and region."""
     sums = {c: F.sum(c) for c in detail.columns if c not in ("mrr_month", "region")}
     df = with_total(detail, ["mrr_month"], "region", sums)
     start, expansion = F.col("starting_mrr"), F.col("expansion_mrr")

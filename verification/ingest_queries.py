@@ -7,11 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from retentia.operators import merge
-from retentia.plans import ingest, signals
+from retentia.plans import incremental, ingest, signals
 from retentia.plans.staging import union_late_events
 from retentia.session import scratch_dir
 from retentia.sources import batches, store
 from retentia.streaming.ingest_stream import stream_deliveries
+from verification.core_queries import _MOVEMENT_NUMBERS, WATERFALL
 from verification.oracle import oracle
 from verification.registry import query
 from verification.report_queries import raw_tables, rows_per_batch
@@ -208,20 +209,93 @@ def _(m):
     return target.fact("payments")
 
 
-@query(
-    "load_batches",
-    oracle("""SELECT invoice_id, nullif(customer_id, '') AS customer_id, status, amount, CAST(_batch_id AS INTEGER) AS _batch_id FROM (
+_CORRECTED_INVOICES = oracle("""SELECT invoice_id, nullif(customer_id, '') AS customer_id, status, amount, CAST(_batch_id AS INTEGER) AS _batch_id FROM (
                 SELECT i.* REPLACE (CASE p.field_corrected WHEN 'status' THEN p.new_value ELSE i.status END AS status,
                   CASE p.field_corrected WHEN 'amount' THEN p.new_value ELSE i.amount END AS amount,
                   CASE p.field_corrected WHEN 'customer_id' THEN p.new_value ELSE i.customer_id END AS customer_id)
-                FROM raw_invoices i LEFT JOIN (SELECT * FROM raw_corrections WHERE entity_type = 'invoice') p ON p.entity_id = i.invoice_id)"""),
-)
+                FROM raw_invoices i LEFT JOIN (SELECT * FROM raw_corrections WHERE entity_type = 'invoice') p ON p.entity_id = i.invoice_id)""")
+
+
+@query("load_batches", _CORRECTED_INVOICES)
 def _(m):
     """Whole deliveries: three batches of invoices, corrections with the last one."""
+    return corrected_store(m).fact("invoices").select(*_CORRECTED)
+
+
+_CORRECTED = ("invoice_id", "customer_id", "status", "amount", "_batch_id")
+
+
+def corrected_store(m) -> ingest.RawStore:
     root, found = delivered_batches(m, "raw_invoices", "invoices")
     deliver(m.raw("raw_corrections"), root, found[-1], "corrections")
     target = ingest.RawStore(m.spark, scratch_dir(m.spark, "store"))
     ingest.load_batches(target, root, tuple(found))
-    return target.fact("invoices").select("invoice_id", "customer_id", "status", "amount", "_batch_id")
+    return target
 
 
+@query("compact_corrections", _CORRECTED_INVOICES)
+def _(m):
+    """The same rows once the patches are merged into the batches they touch."""
+    target = corrected_store(m)
+    target.compact("invoices")
+    return target.fact("invoices").select(*_CORRECTED)
+
+
+@query(
+    "read_during_reload",
+    oracle("""SELECT reader, CAST(_batch_id AS INTEGER) AS _batch_id, CASE WHEN _batch_id = '3' AND reader = 'before' THEN 'draft' ELSE status END AS status,
+                count(*) AS rows FROM raw_invoices CROSS JOIN (SELECT 'before' AS reader UNION ALL SELECT 'after') r GROUP BY ALL"""),
+)
+def _(m):
+    """A reader that began before a batch was loaded again sees the old rows to the end, a later one the new rows."""
+    rows, target = m.raw("raw_invoices"), ingest.RawStore(m.spark, scratch_dir(m.spark, "store"))
+    third = F.col("_batch_id") == "3"
+    with target.change():
+        for b in batches.BATCHES:
+            target.load_fact("invoices", rows.filter(F.col("_batch_id") == str(b.batch_id)).withColumn("status", F.when(third, "draft").otherwise(F.col("status"))), b.batch_id)
+    before = target.fact("invoices")
+    target.load_fact("invoices", rows.filter(third), 3)
+    parts = [df.select(F.lit(name).alias("reader"), "_batch_id", "status") for name, df in (("before", before), ("after", target.fact("invoices")))]
+    return parts[0].unionByName(parts[1]).groupBy("reader", "_batch_id", "status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "stored_history",
+    oracle(f"""SELECT customer_id, status, account_owner, DATE '2024-01-31' AS valid_from,
+                 CASE WHEN status = 'suspended' THEN DATE '2024-02-29' END AS valid_to FROM {_CUSTOMERS} WHERE status <> 'trial'
+               UNION ALL SELECT customer_id, status, {_LATER_OWNER}, DATE '2024-02-29', CAST(NULL AS DATE) FROM {_CUSTOMERS}
+               WHERE status IN ('trial', 'suspended')"""),
+)
+def _(m):
+    """History as the store keeps it: closed rows are added to, only open ones are written anew."""
+    target = ingest.RawStore(m.spark, scratch_dir(m.spark, "store"))
+    for state, as_of in zip(customer_states(m), (date(2024, 1, 31), date(2024, 2, 29))):
+        target.sync_dimension("customers", state, as_of)
+    return target.history("customers").read().select("customer_id", "status", "account_owner", "valid_from", "valid_to")
+
+
+# --- layers that are rebuilt in part ----------------------------------------------------------
+
+
+def revenue_layers(m) -> incremental.Layers:
+    """Built before the last month's subscriptions and the last batch of amendments, and again after them."""
+    layers = incremental.Layers(m.spark, scratch_dir(m.spark, "layers"), buckets=8)
+    early = m.subscriptions.filter("start_date < DATE '2024-03-01'")
+    layers.put("customers", m.dim_customers)
+    health = store.materialise(m.health.select("customer_id", "health_score", "mrr_at_risk"), scratch_dir(m.spark, "model"))
+    layers.put("health", health)
+    for subscriptions, batch in ((early, 2), (m.subscriptions, 3)):
+        layers.put("subscriptions", subscriptions)
+        layers.put("amendments", m.amendments.filter(F.col("batch_id") == batch), str(batch))
+        incremental.build_revenue(layers, m.p)
+    return layers
+
+
+@query("incremental_mart_mrr", oracle("SELECT * FROM mart_mrr", DOUBLE=_MOVEMENT_NUMBERS + " mrr_at_risk", INTEGER="health_score"))
+def _(m):
+    return revenue_layers(m).read("mart_mrr")
+
+
+@query("incremental_mart_nrr", oracle("SELECT * FROM mart_nrr", DOUBLE=WATERFALL + " reactivation_mrr"))
+def _(m):
+    return incremental.stored_nrr(revenue_layers(m))
