@@ -22,20 +22,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str, ties: Seque
 def first_and_latest(df: DataFrame, key: str, version: str, first: Sequence[str]) -> DataFrame:
     """One row per non-NULL key: columns ``first`` from the lowest version, the others from the highest.
 
-    Ties take the highest (lowest) remaining values. All columns travel through the aggregation, so
-    select the wanted ones before calling.
+    Ties take the highest (lowest) remaining values. All columns are sorted on, so select the wanted ones
+    before calling.
 
-    Both ends come from one aggregation (combined map-side), so the versions are shuffled once and
-    no self join is needed.
+    The last version is a window pick, cut per map task before the shuffle, so whole rows with long texts
+    are never held by an aggregation; of the first version only ``first`` is aggregated. Both are partitioned
+    by the key, so the join between them shuffles nothing more.
     """
     rest = [c for c in df.columns if c != key and c not in first and c != version]
+    known = df.filter(F.col(key).isNotNull())
+    newest = latest_per_key(known.select(key, *rest, version), [key], version, rest)
+    if not first:
+        return newest
     late_version = F.coalesce(F.col(version), F.lit(2147483647))
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.max(F.struct(version, *rest)).alias("_new"), F.min(F.struct(late_version.alias("_v"), *first)).alias("_old"))
-        .select(key, *[F.col(f"_old.{c}") for c in first], *[F.col(f"_new.{c}") for c in [*rest, version]])
-    )
+    oldest = known.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(late_version.alias("_v"), *first)).alias("_old"))
+    joined = newest.join(oldest, F.col(key) == F.col("_key"))
+    return joined.select(key, *[F.col(f"_old.{c}") for c in first], *rest, version)
 
 
 def previous_row(

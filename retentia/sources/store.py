@@ -67,6 +67,16 @@ class VersionedTable:
         return number
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A stored table dealt by hash of ``key`` to all cores if its files cannot be cut into as many tasks.
+
+    A table in one small file would else be parsed by one task. Tables with enough splits, which every large
+    one has, are returned as they are; filters and column choices still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Persist a model and return it as read back, with its lineage cut."""
     df.write.mode("overwrite").parquet(path)
