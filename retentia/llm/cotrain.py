@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retentia.llm.common import Batches, bounded_sample, hash_share
+from retentia.llm.common import Batches, bounded_sample, numbered, stored
 
 WORDS = 1 << 10  # hashed word features
 MARKS = b"#*$%&|<>{}=@"
@@ -88,35 +88,38 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (*odds, both))
 
     @classmethod
-    def fit(cls, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, rounds: int = 3, exchanged: float = 0.1, certain: float = 0.95) -> CoTrained:
-        """``y``: 1, 0, or -1 for the unlabelled pool.
+    def fit(
+        cls, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, rounds: int = 3, exchanged: float = 0.1, certain: float = 0.95,
+        pool: Pool | None = None,
+    ) -> CoTrained:
+        """``y``: 1, 0, or -1 for unlabelled rows, which are the pool unless another one is given.
 
         A third of the labelled rows is kept for calibration. In each round every view is fitted to the
         labels and to what the other view is most certain of: at most a share ``exchanged`` of the pool per
         round, from both classes in proportion to the labels, and only beyond ``certain``.
         """
         rng = np.random.default_rng(5)
-        labelled, pool = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
+        labelled = np.flatnonzero(y >= 0)
+        if pool is None:
+            pool = Pool(tuple(v[y < 0] for v in views))
         held = labelled[rng.permutation(len(labelled))[: len(labelled) // 3]]
         first = np.setdiff1d(labelled, held)
         share = max(0.02, min(0.98, float(y[first].mean()) if len(first) else 0.5))
-        given: list[dict[int, int]] = [{}, {}]
+        given: list[dict[int, tuple[int, np.ndarray]]] = [{}, {}]
 
         def fitted(v: int) -> np.ndarray:
-            rows = np.concatenate([first, np.array(list(given[v]), int)])
-            truth = np.concatenate([y[first], np.array(list(given[v].values()), int)]).astype(float)
-            weight = np.concatenate([np.ones(len(first)), np.full(len(given[v]), 0.3)])
+            more = list(given[v].values())
+            x = np.concatenate([views[v][first], np.array([x for _, x in more], np.float32).reshape(len(more), views[v].shape[1])])
+            truth = np.concatenate([y[first], np.array([label for label, _ in more], int)]).astype(float)
+            weight = np.concatenate([np.ones(len(first)), np.full(len(more), 0.3)])
             weight *= np.where(truth > 0, 0.5 / share, 0.5 / (1 - share))  # both classes weigh the same
-            return logistic(views[v][rows], truth, weight)
+            return logistic(x, truth, weight)
 
-        for _ in range(rounds):
+        for step in range(rounds):
             for v in (0, 1):
-                w = fitted(v)
-                p = 1 / (1 + np.exp(-margins(views[v][pool], w)))
-                for label, sure in ((1, p), (0, 1 - p)):
-                    most = int(exchanged * len(pool) * (share if label else 1 - share))
-                    best = np.argsort(-sure, kind="stable")[:most]
-                    given[1 - v].update({int(pool[i]): label for i in best if sure[i] >= certain})
+                parts = {1: exchanged * share, 0: exchanged * (1 - share)}
+                for row, label, x in pool.most_certain(v, fitted(v), parts, certain, step):
+                    given[1 - v][row] = (label, x)
         weights = [fitted(0), fitted(1)]
         known = held if len(set(y[held].tolist())) == 2 else labelled
         scale = []
@@ -128,6 +131,87 @@ class CoTrained:
         return cls(*weights, np.array(scale), mix)
 
 
+class Pool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]):
+        self.views = views
+
+    def most_certain(self, v: int, w: np.ndarray, parts: dict[int, float], certain: float, step: int) -> list[tuple[int, int, np.ndarray]]:
+        """Number, label and other view of the rows that view ``v`` is most certain of, at most ``parts`` of all per label."""
+        p, found = 1 / (1 + np.exp(-margins(self.views[v], w))), []
+        for label, sure in ((1, p), (0, 1 - p)):
+            best = np.argsort(-sure, kind="stable")[: int(parts[label] * len(p))]
+            found += [(int(i), label, self.views[1 - v][i]) for i in best if sure[i] >= certain]
+        return found
+
+
+REACH, BINS = 16, 4096  # log-odds are counted in bins of 1/128 up to 16
+
+
+class TablePool(Pool):
+    """All unlabelled rows of a stored table of features.
+
+    Every row is scored in every round. How certain a view is of how many is counted in bins, added up over
+    the tasks; that gives the least log-odds of the most certain share, to the width of a bin. Of the rows
+    beyond it, about ``bound`` per label and round, chosen by a hash, are learned from and come to the driver.
+    """
+
+    def __init__(self, rows: DataFrame, bound: int):
+        self.rows, self.bound = rows, bound
+
+    def most_certain(self, v: int, w: np.ndarray, parts: dict[int, float], certain: float, step: int) -> list[tuple[int, int, np.ndarray]]:
+        w, rows, least = w.astype(np.float32), self.rows, math.log(certain / (1 - certain))
+
+        def bins(batch: pa.RecordBatch) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+            views = _stored_views(batch)
+            z = np.clip(margins(views[v], w), -REACH, np.nextafter(np.float32(REACH), np.float32(0)))
+            return views, ((z + REACH) * (BINS / (2 * REACH))).astype(np.int64)
+
+        def count(batches: Batches) -> Batches:
+            total = np.zeros(BINS, np.int64)
+            for batch in batches:
+                total += np.bincount(bins(batch)[1], minlength=BINS)
+            used = np.flatnonzero(total)
+            yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["bin", "n"])
+
+        counts = np.zeros(BINS, np.int64)
+        for r in rows.mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():  # BINS rows at most
+            counts[r["bin"]] = r["n"]
+        cuts = {}
+        width = BINS / (2 * REACH)
+        for label, own in ((1, counts[::-1]), (0, counts)):  # the most certain first
+            usable = int((REACH - least) * width)
+            most = int(parts[label] * counts.sum())
+            reached = int(np.searchsorted(np.cumsum(own[:usable]), most)) + 1 if most else 0
+            reached = min(reached, usable)
+            n = int(own[:reached].sum())
+            cuts[label] = (reached, min(1.0, self.bound / n) if n else 0.0)
+
+        def chosen(batches: Batches) -> Batches:
+            for batch in batches:
+                views, at = bins(batch)
+                draw = _row_share(batch["row"].to_numpy(zero_copy_only=False), 2 * step + v)
+                for label, (reached, rate) in cuts.items():
+                    near = at >= BINS - reached if label else at < reached
+                    take = np.flatnonzero(near & (draw < rate))
+                    other = [views[1 - v][i].tobytes() for i in take]
+                    yield pa.record_batch(
+                        [batch["row"].take(pa.array(take)), pa.array(np.full(len(take), label, np.int32)), pa.array(other, pa.binary())], names=["row", "label", "x"]
+                    )
+
+        found = sorted(map(tuple, rows.mapInArrow(chosen, "row long, label int, x binary").collect()))
+        return [(row, label, np.frombuffer(x, np.float32)) for row, label, x in found]
+
+
+def _row_share(rows: np.ndarray, seed: int) -> np.ndarray:
+    """A number in [0, 1) for each row number: a bit mix of the number and ``seed``."""
+    z = rows.astype(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return (z ^ (z >> np.uint64(31))) / 2.0**64
+
+
 def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     text = np.array([text_features(t or b"") for t in batch["text"].cast(pa.binary()).to_pylist()], np.float32)
     meta = [meta_features(*x) for x in zip(*[batch[c].to_pylist() for c in ("lang", "source", "n_chars")])]
@@ -135,30 +219,48 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+FEATURES_SQL = "row long, doc_id long, y int, lang string, source string, n_chars long, x binary"
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 3000) -> CoTrained:
-    """A model from bounded samples: about ``labelled`` documents (half of each class where there are as many)
-    and ``pool`` without a label, chosen by a hash of id and text; their features, about 31 MB, are collected.
-    Rows that repeat id and text are taken once, so null or repeated ids don't swell the samples. Contradicting
-    labels of a document count as low quality."""
-    known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    own = docs.select(*COLUMNS)
-    marked = own.join(known, "doc_id").select(*COLUMNS, "y")
-    chosen = bounded_sample(marked, "y", labelled // 2, labelled, "labels", F.col("doc_id"), F.col("text"))  # in expectation
-    n = docs.count()
-    some = own.filter(hash_share("pool", F.col("doc_id"), F.col("text")) < min(1.0, 1.3 * pool / max(1, n)))
-    some = some.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(-1))
-    rows = chosen.unionByName(some).dropDuplicates()
+def _stored_views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    text = np.array([np.frombuffer(x, np.float32) for x in batch["x"].to_pylist()], np.float32)
+    meta = [meta_features(*x) for x in zip(*[batch[c].to_pylist() for c in ("lang", "source", "n_chars")])]
+    return text.reshape(batch.num_rows, WORDS + SHAPE), np.array(meta, np.float32).reshape(batch.num_rows, META)
+
+
+def stored_features(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The text view of every document, its metadata and its label (-1: none), written once for all rounds."""
+    marked = numbered(docs, *COLUMNS).join(known, "doc_id", "left").withColumn("y", F.coalesce("y", F.lit(-1)))
 
     def task(batches: Batches) -> Batches:
-        for batch in batches:
-            views = [[v.tobytes() for v in x] for x in _features(batch)]
-            yield pa.record_batch([batch["doc_id"], pa.array(views[0], pa.binary()), pa.array(views[1], pa.binary()), batch["y"]], names=["doc_id", "text", "meta", "y"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                x = [text_features(t or b"").tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
+                yield pa.record_batch([*[batch[c] for c in ("row", "doc_id", "y", "lang", "source", "n_chars")], pa.array(x, pa.binary())], names=[c.split()[0] for c in FEATURES_SQL.split(", ")])
+
+    return stored(marked.select("row", "y", *COLUMNS).mapInArrow(task, FEATURES_SQL), "quality-features")
+
 
-    found = sorted(map(tuple, rows.mapInArrow(task, "doc_id long, text binary, meta binary, y int").collect()), key=lambda r: (r[0] is None, r))
-    views = [np.array([np.frombuffer(r[i], np.float32) for r in found], np.float32).reshape(len(found), d) for i, d in ((1, WORDS + SHAPE), (2, META))]
-    return CoTrained.fit(tuple(views), np.array([r[3] for r in found], int))
+def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, exchanged: int = 500) -> CoTrained:
+    """A model from about ``labelled`` labelled documents (half of each class where there are as many) and, per view,
+    class and round, about ``exchanged`` of those unlabelled documents that the other view is most certain of.
+
+    All unlabelled documents take part in every round (see :class:`TablePool`); the two bounds only limit the
+    rows a view is fitted on, which the driver holds: 9,000 rows of about 5 KB at most. Rows that repeat id and
+    text are fitted on once. Contradicting labels of a document count as low quality. Without labels nothing
+    is learned.
+    """
+    known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
+    features = stored_features(docs, known)
+    chosen = bounded_sample(features.filter("y >= 0"), "y", labelled // 2, labelled, "labels", F.col("doc_id"), F.hex("x"))
+    rows = chosen.dropDuplicates(["doc_id", "x", "lang", "source", "n_chars"]).select(*[c.split()[0] for c in FEATURES_SQL.split(", ")])
+    found = pa.Table.from_pylist([r.asDict() for r in sorted(rows.collect(), key=lambda r: r["row"])], pa.schema([
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64()), ("x", pa.binary()),
+    ]))
+    views = _stored_views(found)
+    pool = TablePool(features.filter("y < 0"), exchanged) if found.num_rows else Pool(views)
+    return CoTrained.fit(views, np.array(found["y"].to_pylist(), int), pool=pool)
 
 
 def scored(docs: DataFrame, model: CoTrained) -> DataFrame:
