@@ -150,15 +150,16 @@ REACH, BINS = 16, 4096  # log-odds are counted in bins of 1/128 up to 16
 
 
 class TablePool(Pool):
-    """All unlabelled rows of a stored table of features.
+    """A stored table of features, without the documents that ``known`` labels.
 
     Every row is scored in every round. How certain a view is of how many is counted in bins, added up over
     the tasks; that gives the least log-odds of the most certain share, to the width of a bin. Of the rows
-    beyond it, about ``bound`` per label and round, chosen by a hash, are learned from and come to the driver.
+    beyond it, about ``bound`` per label and round, chosen by a hash, come to the driver; those with a label
+    of their own are taken out of these by a join of ids, so features are never shuffled.
     """
 
-    def __init__(self, rows: DataFrame, bound: int):
-        self.rows, self.bound = rows, bound
+    def __init__(self, rows: DataFrame, bound: int, known: DataFrame):
+        self.rows, self.bound, self.known = rows, bound, known.select("doc_id")
 
     def most_certain(self, v: int, w: np.ndarray, parts: dict[int, float], certain: float, step: int) -> list[tuple[int, int, np.ndarray]]:
         w, rows, least = w.astype(np.float32), self.rows, math.log(certain / (1 - certain))
@@ -197,10 +198,12 @@ class TablePool(Pool):
                     take = np.flatnonzero(near & (draw < rate))
                     other = [views[1 - v][i].tobytes() for i in take]
                     yield pa.record_batch(
-                        [batch["row"].take(pa.array(take)), pa.array(np.full(len(take), label, np.int32)), pa.array(other, pa.binary())], names=["row", "label", "x"]
+                        [*[batch[c].take(pa.array(take)) for c in ("doc_id", "row")], pa.array(np.full(len(take), label, np.int32)), pa.array(other, pa.binary())],
+                        names=["doc_id", "row", "label", "x"],
                     )
 
-        found = sorted(map(tuple, rows.mapInArrow(chosen, "row long, label int, x binary").collect()))
+        unlabelled = rows.mapInArrow(chosen, "doc_id long, row long, label int, x binary").join(self.known, "doc_id", "left_anti")
+        found = sorted(map(tuple, unlabelled.select("row", "label", "x").collect()))
         return [(row, label, np.frombuffer(x, np.float32)) for row, label, x in found]
 
 
@@ -219,7 +222,7 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-FEATURES_SQL = "row long, doc_id long, y int, lang string, source string, n_chars long, x binary"
+FEATURES_SQL = "row long, doc_id long, lang string, source string, n_chars long, x binary"
 
 
 def _stored_views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -228,18 +231,17 @@ def _stored_views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text.reshape(batch.num_rows, WORDS + SHAPE), np.array(meta, np.float32).reshape(batch.num_rows, META)
 
 
-def stored_features(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """The text view of every document, its metadata and its label (-1: none), written once for all rounds."""
-    marked = numbered(docs, *COLUMNS).join(known, "doc_id", "left").withColumn("y", F.coalesce("y", F.lit(-1)))
+def stored_features(docs: DataFrame) -> DataFrame:
+    """The text view of every document and its metadata, written once for all rounds."""
 
     def task(batches: Batches) -> Batches:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 x = [text_features(t or b"").tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
-                yield pa.record_batch([*[batch[c] for c in ("row", "doc_id", "y", "lang", "source", "n_chars")], pa.array(x, pa.binary())], names=[c.split()[0] for c in FEATURES_SQL.split(", ")])
+                yield pa.record_batch([*[batch[c] for c in ("row", "doc_id", "lang", "source", "n_chars")], pa.array(x, pa.binary())], names=[c.split()[0] for c in FEATURES_SQL.split(", ")])
 
-    return stored(marked.select("row", "y", *COLUMNS).mapInArrow(task, FEATURES_SQL), "quality-features")
+    return stored(numbered(docs, *COLUMNS).mapInArrow(task, FEATURES_SQL), "quality-features")
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, exchanged: int = 500) -> CoTrained:
@@ -247,19 +249,19 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, exchanged: i
     class and round, about ``exchanged`` of those unlabelled documents that the other view is most certain of.
 
     All unlabelled documents take part in every round (see :class:`TablePool`); the two bounds only limit the
-    rows a view is fitted on, which the driver holds: 9,000 rows of about 5 KB at most. Rows that repeat id and
-    text are fitted on once. Contradicting labels of a document count as low quality. Without labels nothing
-    is learned.
+    rows a view is fitted on, which the driver holds: 9,000 rows of about 5 KB at most. Contradicting labels of a
+    document count as low quality. Without labels nothing is learned.
     """
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    features = stored_features(docs, known)
-    chosen = bounded_sample(features.filter("y >= 0"), "y", labelled // 2, labelled, "labels", F.col("doc_id"), F.hex("x"))
-    rows = chosen.dropDuplicates(["doc_id", "x", "lang", "source", "n_chars"]).select(*[c.split()[0] for c in FEATURES_SQL.split(", ")])
+    features = stored_features(docs)
+    marked = features.select("row", "doc_id").join(known, "doc_id")
+    chosen = bounded_sample(marked, "y", labelled // 2, labelled, "labels", F.col("doc_id"), F.col("row")).select("row", "y")
+    rows = features.join(F.broadcast(chosen), "row")  # ``labelled`` rows of two numbers
     found = pa.Table.from_pylist([r.asDict() for r in sorted(rows.collect(), key=lambda r: r["row"])], pa.schema([
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("y", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64()), ("x", pa.binary()),
+        ("row", pa.int64()), ("y", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64()), ("x", pa.binary()),
     ]))
     views = _stored_views(found)
-    pool = TablePool(features.filter("y < 0"), exchanged) if found.num_rows else Pool(views)
+    pool = TablePool(features, exchanged, known) if found.num_rows else Pool(views)
     return CoTrained.fit(views, np.array(found["y"].to_pylist(), int), pool=pool)
 
 
