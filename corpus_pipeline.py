@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retentia import configure
 from retentia.llm import exact_dedup, language, mixing, packing, simhash
@@ -30,7 +30,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the weight of its source asks for, in random order."""
-    return mixing.replicated(docs).select(*docs.columns)
+    return mixing.replicated(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
