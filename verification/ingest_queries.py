@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from retentia.operators import merge
 from retentia.plans import incremental, ingest, signals
-from retentia.plans.staging import union_late_events
+from retentia.plans.staging import stg_usage_events, union_late_events
 from retentia.session import scratch_dir
 from retentia.sources import batches, store
 from retentia.streaming.ingest_stream import stream_deliveries
+from retentia.streaming.latest_stream import update_latest, usage_table
 from verification.core_queries import _MOVEMENT_NUMBERS, WATERFALL
 from verification.oracle import oracle
 from verification.registry import query
@@ -209,6 +210,19 @@ def _(m):
     return target.fact("payments")
 
 
+@query("stream_latest_usage", oracle("SELECT * FROM latest_usage", DOUBLE="quantity"))
+def _(m):
+    """Usage as it is delivered, late files last: most of these are older than the days that the stream still holds."""
+    landing, late, checkpoint = scratch_dir(m.spark, "landing"), m.raw("raw_late_usage"), scratch_dir(m.spark, "stream")
+    target = usage_table(m.spark, scratch_dir(m.spark, "latest"))
+    regular = m.raw("raw_usage_events")
+    for rows in [regular.filter(F.col("_batch_id") == str(b.batch_id)) for b in batches.BATCHES] + [late]:
+        rows.write.mode("append").parquet(landing)
+        arrived = m.spark.readStream.schema(regular.schema).parquet(landing)
+        update_latest(stg_usage_events(arrived), target, checkpoint, "35 days")
+    return target.read().drop("_row_seq")
+
+
 _CORRECTED_INVOICES = oracle("""SELECT invoice_id, nullif(customer_id, '') AS customer_id, status, amount, CAST(_batch_id AS INTEGER) AS _batch_id FROM (
                 SELECT i.* REPLACE (CASE p.field_corrected WHEN 'status' THEN p.new_value ELSE i.status END AS status,
                   CASE p.field_corrected WHEN 'amount' THEN p.new_value ELSE i.amount END AS amount,
