@@ -51,5 +51,6 @@ def load_all() -> dict[str, Query]:
     import verification.ingest_queries  # noqa: F401
     import verification.operator_queries  # noqa: F401
     import verification.report_queries  # noqa: F401
+    import verification.stored_queries  # noqa: F401
 
     return REGISTRY
