@@ -11,6 +11,7 @@ from retentia.operators.intervals import valid_at_join
 from retentia.operators.versions import first_and_latest, latest_per_key, previous_row
 from retentia.params import Params
 from retentia.plans.staging import ROW_ORDER
+from retentia.sources.bucketed import BucketedTables
 
 CUSTOMER_CONTEXT = ["company_name", "region", "account_tier"]
 
@@ -238,11 +239,17 @@ def fct_invoices(stg: DataFrame, customers: DataFrame, subscriptions: DataFrame,
     )
 
 
+# What a payment takes from its invoice.
+PAYMENT_CONTEXT = ["subscription_id", "plan_id", "plan_name", "plan_tier", "billing_cycle", "invoice_status"]
+
+
 def fct_payments(stg: DataFrame, customers: DataFrame, invoices: DataFrame) -> DataFrame:
     """``invoices`` is :func:`invoice_context` or :func:`fct_invoices`."""
-    context = ["subscription_id", "plan_id", "plan_name", "plan_tier", "billing_cycle", "invoice_status"]
     df = latest_payments(stg).withColumnRenamed("status", "payment_status")
-    df = _with_customer(enrich(df, invoices, "invoice_id", {c: c for c in context}), customers)
+    return _payment_columns(_with_customer(enrich(df, invoices, "invoice_id", {c: c for c in PAYMENT_CONTEXT}), customers))
+
+
+def _payment_columns(df: DataFrame) -> DataFrame:
     status = F.col("payment_status")
     return df.select(
         "payment_id", "invoice_id", "customer_id", "subscription_id", "plan_id",
@@ -257,6 +264,26 @@ def fct_payments(stg: DataFrame, customers: DataFrame, invoices: DataFrame) -> D
     )
 
 
+def store_payment_layers(tables: BucketedTables, payments: DataFrame, invoices: DataFrame) -> None:
+    """Latest payments (from staging) and :func:`fct_invoices`, both by bucket of the invoice."""
+    tables.write("payments", latest_payments(payments).withColumnRenamed("status", "payment_status"), "invoice_id")
+    tables.write("invoices", invoices, "invoice_id")
+
+
+def fct_payments_from_layers(tables: BucketedTables, customers: DataFrame) -> DataFrame:
+    """:func:`fct_payments` from stored layers: payments and invoices are merged bucket by bucket, without a shuffle.
+
+    A payment by the customer of its invoice takes that customer's columns from the invoice, which
+    has them as of when it was stored. Only other payments are joined to ``customers``.
+    """
+    context = {c: f"_{c}" for c in ("customer_id", *CUSTOMER_CONTEXT, "customer_status")}
+    found = tables.left_join("payments", "invoices", {c: c for c in PAYMENT_CONTEXT} | context)
+    same = F.coalesce(F.col("customer_id") == F.col("_customer_id"), F.lit(False))
+    known = found.filter(same).withColumns({c: F.col(f"_{c}") for c in context if c != "customer_id"})
+    rest = _with_customer(found.filter(~same).drop(*context.values()), customers)
+    return _payment_columns(known.drop(*context.values()).unionByName(rest))
+
+
 def usage_with_subscription(usage: DataFrame, subscriptions: DataFrame, stg: DataFrame | None = None) -> DataFrame:
     """Each observation with the latest-started running subscription valid on its day.
 

@@ -33,15 +33,29 @@ def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="retentia-")
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
-
-    Only a local master without that setting (tests, notebooks) gets a machine-local folder, which is removed
-    when the process ends.
-    """
+def _run_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = _local_folder().name
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/retentia-{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh path below the shared folder named in ``spark.checkpoint.dir``, in one folder per application.
+
+    Only a local master without that setting (tests, notebooks) gets a machine-local folder, which is removed
+    when the process ends.
+    """
+    return f"{_run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove all that this application has put below :func:`scratch_dir`; says whether there was anything.
+
+    For the end of a job: results that were not written elsewhere still read from there, and fail afterwards.
+    Nothing that another application wrote is touched.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,14 +1,16 @@
-"""Models checked while written, key sets per batch, bitmaps of distinct keys, tables by region."""
+"""Models checked while written, key sets per batch, bitmaps of distinct keys, tables by region and by bucket."""
 
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from retentia import session
 from retentia.operators.distinct import KeyNumbers, distinct_keys, key_bitmaps, shared_keys
 from retentia.plans.audited import AuditedTables, Rejected
 from retentia.plans.drift import KeySets
 from retentia.plans.quality import Expectation, profile_batch_key_drift, run_expectations
+from retentia.sources.bucketed import BucketedTables
 from retentia.sources.scoped import RegionTable
 
 
@@ -166,3 +168,67 @@ def test_plan_prunes_folders(spark, served, tmp_path):
     fixed = stored.read(schema).filter("region = 'NA'")
     assert "PartitionFilters: [isnotnull(region" in fixed._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 10
+
+
+# --- by bucket --------------------------------------------------------------------------------
+
+
+@pytest.fixture()
+def bucketed(spark, tmp_path):
+    tables = BucketedTables(spark, str(tmp_path / "tables"), buckets=4, hot=20)
+    facts = [(i, f"k{i % 40}" if i % 3 else ("hot" if i % 2 else None)) for i in range(300)]
+    tables.write("facts", spark.createDataFrame(facts, "id long, key string"), "key")
+    named = [(f"k{i}", f"name {i}") for i in range(0, 40, 2)] + [("hot", "hot name"), (None, "nobody")]
+    tables.write("names", spark.createDataFrame(named, "key string, name string"), "key")
+    return tables, facts, dict(named[:-1])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_join_of_buckets_moves_no_row(spark, bucketed):
+    tables, facts, named = bucketed
+    found = tables.left_join("facts", "names", {"name": "title"})
+    assert rows_of(found) == sorted(repr((i, k, named.get(k))) for i, k in facts)
+    inner = tables.bucketed("facts").join(tables.bucketed("names").hint("merge"), "key")
+    plan = plan_of(inner)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    assert plan_of(found).count("SortMergeJoin") >= 1 and "Exchange" not in plan_of(found).split("Union")[0]
+
+
+def test_hot_and_missing_keys_lie_apart(bucketed):
+    tables, facts, _ = bucketed
+    assert {r.key for r in tables.apart("facts").collect()} == {"hot", None}
+    assert rows_of(tables.read("facts")) == sorted(map(repr, facts))
+    largest = tables.bucketed("facts").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest < 100
+
+
+def test_replaced_tables(spark, bucketed):
+    tables, facts, _ = bucketed
+    before = tables.read("facts")
+    tables.write("facts", spark.createDataFrame([(1, "k1")], "id long, key string"), "key")
+    assert rows_of(before) == sorted(map(repr, facts))  # the former rows, to the end
+    again = BucketedTables(spark, tables.path, buckets=99)
+    assert again.buckets == 4 and rows_of(again.read("facts")) == [repr((1, "k1"))]
+    assert again.clean() == 2
+    assert rows_of(again.left_join("facts", "names", {"name": "name"})) == [repr((1, "k1", None))]
+    again.write("none", spark.createDataFrame([], "id long, key string"), "key")
+    assert again.read("none").count() == 0 and again.left_join("none", "names", {"name": "name"}).count() == 0
+
+
+# --- scratch ----------------------------------------------------------------------------------
+
+
+def test_scratch_of_this_application_is_removed(spark, tmp_path, monkeypatch):
+    own = session._run_folder(spark)
+    assert own.startswith(spark.conf.get("spark.checkpoint.dir")) and own.endswith(spark.sparkContext.applicationId)
+    monkeypatch.setattr(session, "_run_folder", lambda _: f"{tmp_path}/retentia-1")
+    (tmp_path / "retentia-2").mkdir()
+    assert not session.clear_scratch(spark)
+    for _ in range(2):
+        spark.range(3).write.parquet(session.scratch_dir(spark, "a"))
+    assert len(list(tmp_path.glob("retentia-1/a-*"))) == 2
+    assert session.clear_scratch(spark)
+    assert [p.name for p in tmp_path.glob("retentia-*")] == ["retentia-2"]

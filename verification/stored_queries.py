@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from retentia.functions.calendar import month_start
 from retentia.operators.distinct import KeyNumbers, distinct_keys, key_bitmaps, shared_keys
-from retentia.plans import quality
+from retentia.plans import core, quality
 from retentia.plans.audited import AuditedTables, Rejected
 from retentia.plans.drift import KeySets
 from retentia.session import scratch_dir
 from retentia.sources.batches import BATCHES
+from retentia.sources.bucketed import BucketedTables
 from retentia.sources.scoped import RegionTable
 from retentia.sources.store import materialise
 from verification.oracle import month, oracle
@@ -106,3 +107,11 @@ def _(m):
     served = RegionTable(m.spark, scratch_dir(m.spark, "served")).write(customers)
     grants = m.base("region").select(F.lower(F.substring("r_name", 1, 1)).alias("user"), F.col("r_name").alias("region"))
     return served.granted(customers.schema, grants, "a")
+
+
+@query("co_located_payments", oracle("SELECT * FROM fct_payments", DOUBLE="amount processor_fee net_amount"))
+def _(m):
+    """Payments from stored layers that are bucketed by invoice."""
+    tables = BucketedTables(m.spark, scratch_dir(m.spark, "bucketed"), buckets=8, hot=100_000)
+    core.store_payment_layers(tables, m.stg_payments, m.fct_invoices)
+    return core.fct_payments_from_layers(tables, m.dim_customers)
