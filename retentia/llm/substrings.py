@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
 from retentia.llm.common import Batches, numbered, stored, texts
 
 # Differences of these residues modulo 31 give every residue: any two positions reach the cover by one step under 31.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-GRAM = 32  # bytes of an anchor
+GRAM = 32  # bytes of an anchor; doubled for classes that are too large, up to the whole window
 
 
 def _delta() -> np.ndarray:
@@ -42,7 +42,20 @@ def sliding(f, x: np.ndarray, width: int) -> np.ndarray:
     return f(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes (eight at least) from each position of ``data``."""
+    w = words_at(data)
+    n = len(data) - gram + 1
+    mixed = w[:n] * np.uint64(0x9E3779B97F4A7C15)
+    for i in sorted({*range(8, gram - 7, 8), gram - 8} - {0}):
+        mixed += w[i : i + n] ^ (w[i : i + n] >> np.uint64(29))
+        mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xFF51AFD7ED558CCD)
+    return mixed
+
+
+def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last start of the windows of ``length`` bytes that share an anchor, and the hash of the anchor.
 
     The anchor of a window is its first gram of least hash, so equal windows have the same anchor at the same
@@ -50,15 +63,9 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     """
     if len(data) < length:
         return (np.empty(0, np.int64),) * 3
-    w = words_at(data)
-    n = len(data) - GRAM + 1
-    mixed = w[:n] * np.uint64(0x9E3779B97F4A7C15)
-    for i, c in ((8, 0xC2B2AE3D27D4EB4F), (16, 0x165667B19E3779F9), (24, 0xD6E8FEB86659FD93)):
-        mixed += (w[i : i + n] ^ (w[i : i + n] >> np.uint64(29))) * np.uint64(c)
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xFF51AFD7ED558CCD)
+    mixed = gram_hashes(data, gram)
     order = (mixed >> np.uint64(32)).astype(np.uint32)
-    width = length - GRAM + 1
+    width = length - gram + 1
     least = sliding(np.minimum, order, width)
     edge = np.zeros(width - 1, np.uint32)
     at = np.flatnonzero(sliding(np.maximum, np.concatenate([edge, least, edge]), width) == order)
@@ -210,8 +217,6 @@ SPAN_SCHEMA = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.
 
 
 def _anchored(length: int):
-    from xxhash import xxh3_64_intdigest
-
     schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("context", pa.int64())])
 
     def task(batches: Batches) -> Batches:
@@ -229,6 +234,27 @@ def _anchored(length: int):
     return task
 
 
+def _reanchored(length: int, gram: int):
+    """Contexts of a class that is too large, cut at anchors of ``gram`` bytes; the class is part of the new anchor."""
+    schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("context", pa.int64()), ("copies", pa.int64())])
+
+    def task(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 10):
+                out = []
+                for x in batch.slice(at, 1 << 10).to_pylist():
+                    text = x["bytes"]
+                    first, last, found = anchors(np.frombuffer(text, np.uint8), length, gram)
+                    around = [xxh3_64_intdigest(text[a : b + length]) for a, b in zip(first.tolist(), last.tolist())]
+                    own = np.full(len(first), x["anchor"]) * np.int64(0x9E3779B97F4A7C1) ^ found
+                    places = ((first + x["start"]).astype(np.int32), (last + x["start"]).astype(np.int32))
+                    context = np.array(around, np.uint64).view(np.int64)
+                    out.append((np.full(len(first), x["row"]), *places, own, context, np.full(len(first), x["copies"])))
+                yield pa.record_batch([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return task
+
+
 def _contexts(length: int):
     """Contexts of the anchors wanted of each document."""
     schema = pa.schema([("anchor", pa.int64()), ("copies", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
@@ -283,52 +309,50 @@ def _block_spans(length: int, block: int):
     return task
 
 
-def _window_digests(length: int):
-    schema = pa.schema([("digest", pa.binary()), ("place", pa.int64()), ("row", pa.int64()), ("copies", pa.int64())])
-
-    def task(batches: Batches) -> Batches:
-        for batch in batches:
-            for x in batch.to_pylist():
-                n = len(x["bytes"]) - length + 1
-                digests = [hashlib.blake2b(x["bytes"][i : i + length], digest_size=16).digest() for i in range(n)]
-                columns = [pa.array(digests, pa.binary()), pa.array(range(x["start"], x["start"] + n), pa.int64())]
-                yield pa.record_batch([*columns, pa.array([x["row"]] * n, pa.int64()), pa.array([x["copies"]] * n, pa.int64())], schema=schema)
-
-    return task
-
-
-def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of classes too large for a block: every window by its digest, counted map-side first."""
-    windows = stored(contexts.mapInArrow(_window_digests(length), "digest binary, place long, row long, copies long"), "hot-windows")
-    repeated = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = windows.filter("copies = 1").join(repeated.select("digest"), "digest", "left_semi")
-    return found.select("row", F.col("place").cast("int").alias("start"), (F.col("place") + length).cast("int").alias("end"))
+def grams(length: int) -> list[int]:
+    """Sizes of anchors, from the first to the whole window."""
+    sizes = [GRAM]
+    while sizes[-1] < length:
+        sizes.append(min(2 * sizes[-1], length))
+    return sizes
 
 
 def repeated_spans(docs: DataFrame, length: int, block: int, hot: int) -> DataFrame:
     """Spans (``row``, ``start``, ``end``) whose union is every byte in a window that also starts elsewhere; they may overlap."""
-    found = stored(docs.mapInArrow(_anchored(length), ANCHORS), "anchors")
-    shared = found.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("varied")
-    ).filter("n > 1")
+    found = stored(docs.mapInArrow(_anchored(length), ANCHORS), "anchors").withColumn("copies", F.lit(1).cast("long"))
+    spans, sizes = None, grams(length)
+    for gram, finer in zip(sizes, [*sizes[1:], None]):
+        whole, contexts = _shared(docs, found, length)
+        large = None
+        if finer:
+            counts = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))
+            large = stored(counts.filter(F.col("contexts") > hot).select("anchor"), f"hot-anchors-{gram}")
+            large = None if large.isEmpty() else large
+        cold = contexts.join(large, "anchor", "left_anti") if large else contexts
+        blocks = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_block_spans(length, block), SPANS)
+        spans = whole.unionByName(blocks) if spans is None else spans.unionByName(whole).unionByName(blocks)
+        if not large:
+            return spans
+        again = contexts.join(large, "anchor", "left_semi").mapInArrow(_reanchored(length, finer), f"{ANCHORS}, copies long")
+        found = stored(again, f"anchors-{finer}")
+    return spans
+
+
+def _shared(docs: DataFrame, found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of contexts found twice, and one copy of each context whose anchor has different ones."""
+    shared = found.groupBy("anchor").agg(F.sum("copies").alias("n"), (F.min("context") != F.max("context")).alias("varied")).filter("n > 1")
     shared = stored(shared.select("anchor", "varied"), "shared-anchors")  # so that the join's hot anchors can be split
     hits = stored(found.join(shared, "anchor"), "anchor-hits")
     copies = hits.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "first", "last")).alias("one"), F.first("varied").alias("varied")
+        F.sum("copies").alias("copies"), F.min(F.struct("row", "first", "last")).alias("one"), F.first("varied").alias("varied")
     )
     copies = stored(copies, "contexts")
     whole = hits.join(copies.filter("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
-    certain = whole.select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    whole = whole.select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
-    varied = copies.filter("varied")
-    sizes = varied.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))
-    wanted = varied.select("one.row", F.struct("one.first", "one.last", "anchor", "copies").alias("x"))
+    wanted = copies.filter("varied").select("one.row", F.struct("one.first", "one.last", "anchor", "copies").alias("x"))
     wanted = wanted.groupBy("row").agg(F.collect_list("x").alias("wanted"))  # of one document
-    contexts = stored(docs.join(wanted, "row").mapInArrow(_contexts(length), CONTEXT), "context-bytes")
-    large = stored(sizes.filter(F.col("contexts") > hot).select("anchor"), "hot-anchors")
-    cold = contexts.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    spans = certain.unionByName(cold.mapInArrow(_block_spans(length, block), SPANS))
-    return spans if large.isEmpty() else spans.unionByName(_hot_spans(contexts.join(large, "anchor", "left_semi"), length))
+    return whole, stored(docs.join(wanted, "row").mapInArrow(_contexts(length), CONTEXT), "context-bytes")
 
 
 def _cleaned(batches: Batches) -> Batches:
@@ -364,8 +388,9 @@ def without_repeats(docs: DataFrame, length: int = 200, block: int = 1 << 20, ho
     2. One copy of each different context is fetched and goes to the block of its anchor. A block is sorted
        blockwise with a difference cover; windows are repeated if their neighbours in suffix order begin
        with the same ``length`` bytes, which is compared byte by byte.
-    3. Anchors with over ``hot`` different contexts don't go into one block: their windows are counted by
-       digest, combined map-side.
+    3. Anchors with over ``hot`` different contexts don't go into one block: their contexts are cut again at the
+       least grams of twice the size and go through the same steps, in smaller classes. A gram as long as the
+       window ends this: contexts are then single windows, and equal ones are removed whole.
     """
     rows = numbered(docs, "doc_id", "text")
     spans = repeated_spans(rows.select("row", "text"), length, block, hot)

@@ -483,10 +483,11 @@ def brute_removed(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [1, 1 << 14])
+@pytest.mark.parametrize("hot", [1, 3, 1 << 14])
 def test_substrings(session, tmp_path_factory, texts, hot):
     passage = prose(77, 60)
     more = [prose(i, 30) + passage + prose(i + 50, 20) for i in range(100, 112)]
+    more += [prose(i, 25) + passage[:140] + prose(i + 50, 25) for i in range(200, 212)]  # shorter than a window
     all_texts = [*texts, *more, passage * 3, "ab" * 400, "ab" * 130 + "c", "\0" * 500, prose(500, 40) + "\0" * 250, (prose(600, 12) + " ") * 2]
     docs = stored(session, rows_of(all_texts), tmp_path_factory)
     raw = [(t or "").encode() for t in all_texts]
@@ -507,6 +508,15 @@ def test_suffix_order():
         assert order.tolist() == sorted(range(len(body)), key=lambda i: body[i:])
 
 
+def test_sizes_of_anchors_end_with_the_window():
+    assert [substrings.grams(n) for n in (32, 50, 200)] == [[32], [32, 50], [32, 64, 128, 200]]
+    data = np.frombuffer(prose(3, 100).encode(), np.uint8)
+    for gram in (8, 32, 50, 200):  # as many hashes as different grams
+        assert len(set(substrings.gram_hashes(data, gram).tolist())) == len({bytes(data[i : i + gram]) for i in range(len(data) - gram + 1)})
+    first, last, _ = substrings.anchors(data, 50, 50)
+    assert (first == last).all() and len(first) == len(data) - 49
+
+
 def test_anchors_are_shared_by_equal_windows():
     rng = np.random.default_rng(9)
     common = rng.integers(97, 100, 200, dtype=np.uint8)
