@@ -274,11 +274,14 @@ def require(report: DataFrame) -> None:
 # --- flags ------------------------------------------------------------------------------------
 
 
+def flag_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("dq_") or c == "region_was_inferred"]
+
+
 def dq_flag_counts(models: dict[str, DataFrame]) -> DataFrame:
     """Rows carrying each ``dq_`` flag (and inferred regions) per model; one pass per model."""
     parts = []
     for name, df in models.items():
-        flags = [c for c in df.columns if c.startswith("dq_") or c == "region_was_inferred"]
-        cells = [F.struct(F.lit(name).alias("model"), F.lit(c).alias("flag"), F.count_if(F.col(c)).alias("rows")) for c in flags]
+        cells = [F.struct(F.lit(name).alias("model"), F.lit(c).alias("flag"), F.count_if(F.col(c)).alias("rows")) for c in flag_columns(df)]
         parts.append(df.agg(F.array(*cells).alias("r")).select(F.inline("r")))
     return _union(parts)

@@ -9,7 +9,7 @@ from retentia import session
 from retentia.operators.distinct import KeyNumbers, distinct_keys, key_bitmaps, shared_keys
 from retentia.plans.audited import AuditedTables, Rejected
 from retentia.plans.drift import KeySets
-from retentia.plans.quality import Expectation, profile_batch_key_drift, run_expectations
+from retentia.plans.quality import Expectation, dq_flag_counts, profile_batch_key_drift, run_expectations
 from retentia.sources.bucketed import BucketedTables
 from retentia.sources.scoped import RegionTable
 
@@ -68,6 +68,22 @@ def test_row_checks_take_no_scan(spark, tmp_path):
     assert runs.value == 1000 and report.first()["failures"] == 0
 
 
+def test_flags_are_counted_by_the_write(spark, tmp_path):
+    store = AuditedTables(spark, str(tmp_path))
+    schema = "k string, dq_a boolean, region_was_inferred boolean, dq_b boolean"
+    models = {
+        "m": spark.createDataFrame([("a", True, False, None), ("b", True, True, None), ("c", None, False, None)], schema),
+        "none": spark.createDataFrame([], schema),
+        "bare": table(spark, ("a", "x")),
+    }
+    store.publish(models, ())
+    assert rows_of(store.flags()) == rows_of(dq_flag_counts({n: models[n] for n in ("m", "none")}))
+    assert {tuple(r) for r in store.flags("m").collect()} == {("m", "dq_a", 2), ("m", "region_was_inferred", 1), ("m", "dq_b", 0)}
+    assert store.flags("bare").count() == 0
+    store.publish({"m": models["none"]}, ())  # counts go with the table
+    assert store.flags("m").agg(F.sum("rows")).first()[0] == 0
+
+
 def test_empty_table_and_no_checks(spark, tmp_path):
     store = AuditedTables(spark, str(tmp_path))
     assert store.publish({"t": table(spark)}, CHECKS).agg(F.sum("failures")).first()[0] == 0

@@ -509,12 +509,11 @@ _FLAGS = {
     "fct_contract_amendments": ["dq_unresolved_customer"],
 }
 
+FLAGS_SQL = oracle(" UNION ALL ".join(
+    f"SELECT '{t}' AS model, '{f}' AS flag, count(*) FILTER (WHERE {f}) AS rows FROM {t}" for t, fs in _FLAGS.items() for f in fs
+))
 
-@query(
-    "dq_flags",
-    oracle(" UNION ALL ".join(
-        f"SELECT '{t}' AS model, '{f}' AS flag, count(*) FILTER (WHERE {f}) AS rows FROM {t}" for t, fs in _FLAGS.items() for f in fs
-    )),
-)
+
+@query("dq_flags", FLAGS_SQL)
 def _(m):
     return quality.dq_flag_counts({n: getattr(m, n) for n in _FLAGS})

@@ -18,7 +18,7 @@ from retentia.sources.scoped import RegionTable
 from retentia.sources.store import materialise
 from verification.oracle import month, oracle
 from verification.registry import query
-from verification.report_queries import _drift, _expectation, raw_tables
+from verification.report_queries import FLAGS_SQL, _drift, _expectation, raw_tables
 
 _STAGED = ("stg_customers", "stg_plans", "stg_subscriptions", "dim_customers")
 _LARGE = ("raw_invoices", "raw_payments", "raw_usage_events")
@@ -48,6 +48,25 @@ def _(m):
     raise AssertionError("repeated keys were published")
 
 
+@query("stored_dq_flags", FLAGS_SQL)
+def _(m):
+    """Flags counted by the writes that build the layers; each layer reads the stored ones below it, so nothing is built twice."""
+    store = AuditedTables(m.spark, scratch_dir(m.spark, "layers"))
+    store.publish({"dim_customers": m.dim_customers, "dim_subscriptions": m.dim_subscriptions}, ())
+    customers = store.read("dim_customers")
+    store.publish({"fct_invoices": core.fct_invoices(m.stg_invoices, customers, m.subscriptions, m.dim_plans)}, ())
+    invoices = store.read("fct_invoices")
+    facts = {
+        "fct_payments": core.fct_payments(m.stg_payments, customers, invoices),
+        "fct_usage_events": core.fct_usage_events(m.stg_usage_events, customers, m.subscriptions, m.dim_plans),
+        "fct_support_tickets": core.fct_support_tickets(m.stg_support_tickets, customers),
+        "fct_adjustments": core.fct_adjustments(m.stg_adjustments, customers, invoices),
+        "fct_contract_amendments": core.fct_contract_amendments(m.stg_contract_amendments, customers, m.dim_plans),
+    }
+    store.publish(facts, ())
+    return store.flags()
+
+
 @query("stored_key_drift", oracle(" UNION ALL ".join(_drift(b) for b in (1, 2, 3))))
 def _(m):
     """Each batch is compared with the stored keys of the one before it when it arrives."""
