@@ -80,7 +80,9 @@ def _cell(key: tuple[pa.Scalar, ...], slices: pa.Table) -> pa.Table:
     for k, i in enumerate(left):
         others = left[k + 1 :] if a == b else right
         for j in others:
-            rows.append((lang, names[i], names[j], int(apart(shares[i], shares[j]).sum())))
+            # Rows come in any order, and a pair must have the same name in every term block to be added up.
+            first, second = sorted((names[i], names[j]))
+            rows.append((lang, first, second, int(apart(shares[i], shares[j]).sum())))
     return pa.Table.from_batches(list(rows_out(PAIRS, rows)), schema=PAIRS)
 
 

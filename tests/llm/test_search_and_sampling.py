@@ -190,6 +190,20 @@ def test_sources_without_terms(session, tmp_path_factory):
     assert sorted(map(tuple, found.collect())) == brute_divergence(rows, 10, 10)
 
 
+def test_divergence_over_many_term_blocks(session, tmp_path_factory):
+    """The sources of one group block meet in every term block, where their rows come in any order."""
+    rng = random.Random(5)
+    words = ["w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=200)), "en", f"s{i % 7}") for i in range(140)]
+    table = stored(session, [(*r, "r", 1, "t", 2) for r in rows], DOCS, tmp_path_factory)
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several tasks, as on large tables
+    try:
+        found = divergence.divergence(table, least=10, top=10, term_block=5).collect()
+    finally:
+        configure(session)
+    assert sorted(map(tuple, found)) == brute_divergence(rows, 10, 10)
+
+
 # --- resampling ---
 
 
