@@ -8,7 +8,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from retentia.session import scratch_dir
 from retentia.sources.snapshots import Snapshots
+from retentia.sources.store import materialise
+
+# Slots that rows are counted in to find hot keys; a task sends at most one row per slot.
+SLOTS = 1 << 16
 
 
 class BucketedTables:
@@ -42,10 +47,19 @@ class BucketedTables:
     def _fields(self, entry: dict) -> StructType:
         return StructType.fromJson(json.loads(entry["schema"]))
 
+    def _often(self, rows: DataFrame, key: str) -> DataFrame:
+        """Keys with over ``hot`` rows. Rows are first counted by slot, a hash of the key: only keys of slots with
+        over ``hot`` rows can be hot and are counted themselves, so that single keys are not shuffled."""
+        slot = F.pmod(F.xxhash64(F.col(key)), F.lit(SLOTS))
+        keys = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_hot"), slot.alias("_slot"))
+        full = keys.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > self.hot).select("_slot")
+        counts = keys.join(F.broadcast(full), "_slot", "left_semi").groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
+        return counts.filter(F.col("_n") > self.hot).select("_hot")
+
     def write(self, name: str, df: DataFrame, key: str) -> None:
-        """Replace a table; readers of the former one keep it. ``df`` is read twice, once for the counts of its keys."""
-        counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-        often = counts.filter((F.col("_n") > self.hot) & F.col("_hot").isNotNull()).select("_hot")
+        """Replace a table; readers of the former one keep it. ``df`` is computed once, into a scratch table."""
+        df = materialise(df, scratch_dir(self.spark, f"bucketed-{name}"))
+        often = materialise(self._often(df, key), scratch_dir(self.spark, f"hot-{name}"))
         known = F.col(key).isNotNull()
         folder, apart, made = self.snapshots.folder(name), self.snapshots.folder(name), f"retentia_{uuid.uuid4().hex}"
         same = F.col(key) == F.col("_hot")

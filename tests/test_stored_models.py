@@ -221,6 +221,20 @@ def test_hot_and_missing_keys_lie_apart(bucketed):
     assert largest < 100
 
 
+def test_rows_are_computed_once(spark, tmp_path):
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(i):
+        computed.add(1)
+        return f"k{i % 7}" if i % 2 else "hot"
+
+    tables = BucketedTables(spark, str(tmp_path / "tables"), buckets=4, hot=40)
+    tables.write("facts", spark.range(100).select("id", key("id").alias("key")), "key")
+    assert computed.value == 100
+    assert {r.key for r in tables.apart("facts").collect()} == {"hot"} and tables.read("facts").count() == 100
+
+
 def test_replaced_tables(spark, bucketed):
     tables, facts, _ = bucketed
     before = tables.read("facts")
