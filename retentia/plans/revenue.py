@@ -64,8 +64,18 @@ _AMOUNTS = ["mrr", "new_mrr_amount", "churn_mrr_amount", "expansion_mrr", "contr
 _COUNTS = ["active_sub_count", "expansion_count", "contraction_count"]
 
 
+def _cents(amount: Column) -> Column:
+    """An amount as a whole number of cents: a sum of longs takes a third of the memory of a sum of decimals.
+    A sum beyond 9 * 10^16 is an error, never another number."""
+    return (amount.cast("decimal(22,2)") * 100).cast("long")
+
+
+def _amount(cents: Column) -> Column:
+    return (cents.cast("decimal(30,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(32,2)")
+
+
 def _contribution(month: Column, **given: Column) -> Column:
-    filled = [F.coalesce(given.get(c, F.lit(0)), F.lit(0)).cast("decimal(22,2)").alias(c) for c in _AMOUNTS]
+    filled = [_cents(F.coalesce(given.get(c, F.lit(0)), F.lit(0))).alias(c) for c in _AMOUNTS]
     filled += [F.coalesce(given.get(c, F.lit(0)), F.lit(0)).cast("long").alias(c) for c in _COUNTS]
     return F.struct(month.alias("mrr_month"), *filled)
 
@@ -94,7 +104,8 @@ def customer_months(
 
     Same result as joining :func:`base_mrr`, :func:`new_mrr`, :func:`churn_mrr` and
     :func:`amendment_movements` to the skeleton, but subscriptions are read once, and the parts are
-    added up by a single aggregation, combined map-side, instead of four joins.
+    added up by a single aggregation, combined map-side, instead of four joins. Amounts are added up as cents,
+    as a map task holds a row of sums per customer and month it meets.
     """
     delta, effective = F.col("mrr_delta"), F.col("effective_date")
     skeleton = month_skeleton(customers, "customer_id", p.months).select(
@@ -119,7 +130,7 @@ def customer_months(
         parts.groupBy(*KEY)
         .agg(*[F.sum(c).alias(c) for c in [*_AMOUNTS, *_COUNTS]], F.max("_known").alias("_known"))
         .filter("_known")
-        .drop("_known")
+        .select(*KEY, *[_amount(F.col(c)).alias(c) for c in _AMOUNTS], *_COUNTS)
     )
 
 

@@ -194,3 +194,29 @@ def test_entry(spark):
     names, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(names) and len(names) > 150
     assert not [n for n in oracles if re.search(r"\bLIMIT\b", oracles[n], re.I)]
+
+
+def test_amounts_are_added_up_as_whole_cents(spark):
+    """A map task holds a row of sums per customer and month, so these must be small; nothing is rounded by it."""
+    from datetime import date
+    from decimal import Decimal
+
+    from retentia.plans import core, revenue
+
+    schema = "subscription_id string, customer_id string, plan_id string, status string, billing_cycle string, auto_renew boolean, start_date date, end_date date, mrr decimal(12,2)"
+    amounts = ["9999999999.99", "-0.01", "0.07", None]
+    rows = [(f"S{i}", "C1", "P", "active", "monthly", True, date(2024, 1, 5), date(2025, 1, 1), None if x is None else Decimal(x)) for i, x in enumerate(amounts)]
+    amendments = spark.createDataFrame([("C1", date(2024, 2, 1), Decimal("-0.03")), ("C2", date(2024, 2, 1), Decimal("5"))], "customer_id string, effective_date date, mrr_delta decimal(13,2)")
+    customers = spark.createDataFrame([("C1",)], "customer_id string")
+    months = revenue.customer_months(customers, core.resolved_subscriptions(spark.createDataFrame(rows, schema)), amendments)
+    found = {r.mrr_month.month: (r.mrr, r.new_mrr_amount, r.contraction_mrr, r.active_sub_count) for r in months.collect()}
+    total, none = Decimal("10000000000.05"), Decimal("0.00")
+    assert found == {1: (total, total, none, 4), 2: (total, none, Decimal("0.03"), 4), 3: (total, none, none, 4)}
+    assert dict(months.dtypes)["mrr"] == "decimal(32,2)"
+
+    plan, added = months._jdf.queryExecution().optimizedPlan(), []
+    while plan.nodeName() != "Aggregate":
+        plan = plan.children().apply(0)
+    rows_in = plan.child().output()
+    added = [rows_in.apply(i).dataType().simpleString() for i in range(rows_in.size())]
+    assert not [t for t in added if t.startswith("decimal")]
