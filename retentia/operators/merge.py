@@ -161,20 +161,16 @@ def apply_corrections(facts: DataFrame, corrections: DataFrame, entity: str) ->
     number = F.regexp_extract("correction_id", r"(\d+)", 1).try_cast("decimal(38,0)")
     dated = "_delivery" in corrections.columns
     delivery = F.col("_delivery") if dated else F.lit(0)
-    last = (
+    known = (
         known_corrections(corrections)
         .withColumn("_field", F.lower(F.trim("field_corrected")))
-        .filter((F.col("entity_type") == entity) & F.col("_field").isin([c.lower() for c in fields]))
-        .groupBy("entity_id", "_field")
-        .agg(
-            F.max_by(
-                F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value"), delivery.alias("delivery")),
-                F.struct(delivery, number, "correction_id"),
-            ).alias("patch")
-        )
+        .filter((F.col("entity_type") == entity) & F.col("_field").isin([c.lower() for c in fields]) & F.col("entity_id").isNotNull())
     )
-    patches = last.groupBy(F.col("entity_id").alias("_id")).agg(
-        *[F.any_value(F.when(F.col("_field") == c.lower(), F.col("patch")), True).alias(f"_p_{c}") for c in fields]
+    patch = F.struct(F.nullif(F.col("new_value"), F.lit("")).alias("value"), delivery.alias("delivery"))
+    order = F.struct(delivery, number, "correction_id")
+    own = {c: F.col("_field") == c.lower() for c in fields}
+    patches = known.groupBy(F.col("entity_id").alias("_id")).agg(
+        *[F.max_by(F.when(own[c], patch), F.when(own[c], order)).alias(f"_p_{c}") for c in fields]
     )
 
     def patched(c: str) -> Column:

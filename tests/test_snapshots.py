@@ -248,3 +248,37 @@ def test_load_summary_of_snapshots(spark, raw):
     raw.load_fact("invoices", invoices(spark, [("I1", "open", "1")]), 1)
     raw.load_fact("invoices", invoices(spark, []), 2)
     assert [tuple(r) for r in ingest.load_summary(raw.tables()).collect()] == [("invoices", 1, 1)]
+
+
+def test_batches_are_compacted_by_one_join(spark, raw, monkeypatch):
+    """Three touched batches, one without the column of a patch, one that a patch of a later delivery does not reach."""
+    raw.load_fact("invoices", spark.createDataFrame([("I1", "open"), ("I2", "open")], "invoice_id string, status string"), 1)
+    raw.load_fact("invoices", invoices(spark, [("I1", "open", "1"), (None, "open", "2")]), 2)
+    raw.load_fact("invoices", invoices(spark, [("I1", "late", "3"), ("I3", "late", "4")]), 3)
+    raw.load_fact("invoices", invoices(spark, [("I4", "late", "5")]), 4)
+    raw.correct(patches(spark, (1, "I1", "status", "paid"), (2, "I1", "amount", "7"), (3, None, "status", "x")), 2)
+    raw.correct(patches(spark, (9, "I3", "status", "void")), 3)
+    joins, apply = [], ingest.apply_corrections
+    monkeypatch.setattr(ingest, "apply_corrections", lambda *args: joins.append(args) or apply(*args))
+    assert raw.compact("invoices") == [1, 2, 3] and len(joins) == 1
+    want = [("I1", "late", "3", 3), ("I1", "paid", "7", 2), ("I1", "paid", "-", 1), ("I2", "open", "-", 1), ("I3", "void", "4", 3), ("I4", "late", "5", 4), ("-", "open", "2", 2)]
+    assert rows_of(raw.fact("invoices").na.fill("-"), *STATUS) == sorted(want) and len(joins) == 1
+    assert raw.clean() == 0 and rows_of(raw.fact("invoices").na.fill("-"), *STATUS) == sorted(want)
+    assert all(f.startswith("_batch_id=") for f in batches.folders(spark, f"{raw.path}/fact/invoices"))
+
+
+def test_an_id_beyond_the_first_ones_is_found(spark, raw, monkeypatch):
+    monkeypatch.setattr(ingest, "PROBE", 1)
+    raw.load_fact("invoices", invoices(spark, [("I7", "open", "1")]), 1)
+    raw.correct(patches(spark, *[(i, f"I{i}", "status", "paid") for i in range(9)]), 1)
+    assert raw.compact("invoices") == [1] and rows_of(raw.fact("invoices"), *STATUS) == [("I7", "paid", "1", 1)]
+
+
+def test_patches_are_shuffled_once(spark):
+    fixes, facts = patches(spark, (1, "I1", "status", "x")), invoices(spark, [("I1", "open", "1")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = apply_corrections(facts, fixes, "invoice")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # facts and patches
