@@ -282,3 +282,15 @@ def test_patches_are_shuffled_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2  # facts and patches
+
+
+def test_deliveries_and_stored_files_are_compressed(spark, raw, tmp_path):
+    from verification.ingest_queries import deliver
+
+    rows = invoices(spark, [("I1", " open", None), ("I2", 'a "b", c', "2")])
+    deliver(rows, str(tmp_path / "in"), batches.BATCHES[0], "invoices")
+    written = [p.name for p in (tmp_path / "in" / "batch_001" / "invoices.csv").iterdir() if p.name.startswith("part-")]
+    assert written and all(n.endswith(".csv.gz") for n in written)
+    load_batch(raw, str(tmp_path / "in"), batches.BATCHES[0])
+    assert rows_of(raw.fact("invoices").na.fill("-"), *STATUS) == [("I1", " open", "-", 1), ("I2", 'a "b", c', "2", 1)]
+    assert all(f.endswith(".zstd.parquet") for f in files(raw.fact("invoices")))

@@ -22,9 +22,9 @@ from verification.report_queries import raw_tables, rows_per_batch
 
 
 def deliver(df: DataFrame, root: str, batch: batches.Batch, table: str) -> None:
-    """Write one delivery as an exporting system would: a header in its own spelling, blanks for NULL."""
+    """Write one delivery as an exporting system would: a header in its own spelling, blanks for NULL, files compressed."""
     shouting = df.toDF(*[f" {c.upper()} " for c in df.columns])
-    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "compression": "gzip"}
     shouting.write.options(**options).csv(f"{root}/{batch.name}/{table}.csv")
 
 
