@@ -12,7 +12,7 @@ from retentia.plans import core, quality, revenue, serving, signals
 from retentia.operators.access import Scope
 from verification.bindings import BINDINGS
 from verification.compare import compare, connect
-from verification.models import PARAMS, Models
+from verification.models import PARAMS, Models, stored_health
 from verification.registry import load_all
 
 SMALL = "/root/testdata/sf0.001"
@@ -159,6 +159,15 @@ def test_unused_columns_are_not_read(models):
     assert "l_tax" not in plan.split("Relation")[0]
 
 
+def test_usage_is_read_once(models):
+    """Statistics and health both need the latest usage; neither plan picks it from the raw events again."""
+    stats, scored = stored_health(models)
+    for stored, plain in ((stats, models.usage_stats), (scored, models.health)):
+        plan, other = (df._jdf.queryExecution().optimizedPlan().toString() for df in (stored, plain))
+        assert "API_requests" in other and "API_requests" not in plan
+        assert sorted(map(repr, stored.collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_scope_reaches_the_scan(models, spark, tmp_path):
     path = str(tmp_path / "customers")
     models.dim_customers.write.parquet(path)

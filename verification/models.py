@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retentia import Params, configure
 from retentia.plans import core, health, referrals, revenue, signals, staging, support
-from retentia.sources.store import spread
+from retentia.session import scratch_dir
+from retentia.sources.store import materialise, spread
 from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
@@ -221,6 +222,18 @@ class Models:
         return support.mart_support_summary(self.tickets_by_region)
 
 
+def stored_health(m: Models) -> tuple[DataFrame, DataFrame]:
+    """Usage statistics and health, as ``m.usage_stats`` and ``m.health``, from usage that is read and picked once.
+
+    Plans that read both would else compute the latest usage three times and its statistics twice.
+    """
+    used = m.latest_usage.select("customer_id", "event_date", "metric_name", "quantity")
+    usage = materialise(used, scratch_dir(m.spark, "usage"))
+    stats = materialise(signals.customer_usage_stats(usage, m.dim_customers, m.p), scratch_dir(m.spark, "stats"))
+    support = signals.customer_support_signals(m.ticket_states, usage, m.p)
+    return stats, health.customer_health_score(m.dim_customers, stats, support, m.financial_signals, m.p)
+
+
 _SHARED: dict[tuple[str, str], Models] = {}
 
 

@@ -7,6 +7,7 @@ from retentia.session import scratch_dir
 from retentia.sources.store import materialise
 from verification.operator_queries import BREAKDOWN, BREADTH, DETAIL, LEADERS, MANAGER, null_rate_sql
 from verification.core_queries import WATERFALL
+from verification.models import stored_health
 from verification.oracle import average, month, oracle, rounded
 from verification.registry import query
 
@@ -275,7 +276,7 @@ def _(m):
                        quantile_cont(CAST(total_events_3m AS DOUBLE), 0.5) OVER () AS median_total_events_3m FROM ({DETAIL}) AS detail) AS placed"""),
 )
 def _(m):
-    detail = serving.usage_customer_detail(m.usage_stats, m.health, p=m.p)
+    detail = serving.usage_customer_detail(*stored_health(m), p=m.p)
     return serving.engagement_quadrant(materialise(detail, scratch_dir(m.spark, "detail")), m.p)
 
 
