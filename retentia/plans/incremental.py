@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.types import StructField, StructType
 
 from retentia.params import Params
@@ -26,6 +26,22 @@ def _columns(df: DataFrame) -> str:
     return StructType([StructField(f.name, f.dataType) for f in df.schema.fields]).json()
 
 
+# Types that a hash tells apart as they are; floats (0 and -0) and nested values are spelled out for it.
+HASHED = (T.BooleanType, T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+
+
+def _hashed(df: DataFrame) -> list[Column]:
+    """What a hash of a whole row reads. A hash passes over NULLs, so which columns are NULL comes first."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    missing = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+
+    def value(c: Column, kind: T.DataType) -> Column:
+        plain = isinstance(kind, HASHED) or kind == T.StringType()
+        return c if plain else F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+
+    return [missing, *[value(c, f.dataType) for c, f in zip(columns, df.schema.fields)]]
+
+
 class Layers:
     """Input tables and models below one folder, committed together by a manifest.
 
@@ -71,8 +87,8 @@ class Layers:
         costly to compute.
         """
         placed = rows.withColumn(BUCKET, self.bucket())
-        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
-        sums = [F.sum(F.xxhash64(x).cast("decimal(38,0)")).cast("string") for x in (row, F.concat(F.lit("2"), row))]
+        row = _hashed(rows)
+        sums = [F.sum(F.xxhash64(*x).cast("decimal(38,0)")).cast("string") for x in (row, [F.lit(2), *row])]
         prints = placed.groupBy(BUCKET).agg(F.concat_ws(":", F.count(F.lit(1)), *sums).alias("print")).collect()  # one per bucket
         found = {str(r[BUCKET]): r["print"] for r in prints}
         with self.snapshots.change() as state:

@@ -214,6 +214,17 @@ def test_only_touched_buckets_are_read_and_replaced(spark, inputs, tmp_path):
     assert {f for f in stored - now} and all(f"_bucket={touched[0]}/" in f for f in stored ^ now)
 
 
+def test_rows_are_told_apart_without_spelling_them_out(spark, tmp_path):
+    """Fingerprints of plain columns hash the values themselves; NULLs, which a hash skips, count by their place."""
+    layers, columns = incremental.Layers(spark, str(tmp_path / "out"), buckets=1), "customer_id string, a string, b string, c double"
+    versions = [("x", None, 0.0), (None, "x", 0.0), ("x", "", 0.0), ("", "x", 0.0), ("x", "", -0.0), ("x", None, None)]
+    for a, b, c in versions:
+        rows = spark.createDataFrame([("C1", a, b, c)], columns)
+        assert layers.put("t", rows) == [0] and layers.put("t", rows) == []
+    plan = rows.select(*incremental._hashed(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_json") == 1  # of the float, whose two zeros have one hash
+
+
 def test_changed_dimensions_parameters_and_removed_rows(spark, inputs, tmp_path):
     layers = incremental.Layers(spark, str(tmp_path / "out"), buckets=8)
     for name, df in inputs.items():

@@ -14,6 +14,7 @@ from retentia.sources import batches, store
 from retentia.streaming.ingest_stream import stream_deliveries
 from retentia.streaming.latest_stream import update_latest, usage_table
 from verification.core_queries import _MOVEMENT_NUMBERS, WATERFALL
+from verification.models import stored_health
 from verification.oracle import oracle
 from verification.registry import query
 from verification.report_queries import raw_tables, rows_per_batch
@@ -294,13 +295,15 @@ def _(m):
 def revenue_layers(m) -> incremental.Layers:
     """Built before the last month's subscriptions and the last batch of amendments, and again after them."""
     layers = incremental.Layers(m.spark, scratch_dir(m.spark, "layers"), buckets=8)
-    early = m.subscriptions.filter("start_date < DATE '2024-03-01'")
-    layers.put("customers", m.dim_customers)
-    health = store.materialise(m.health.select("customer_id", "health_score", "mrr_at_risk"), scratch_dir(m.spark, "model"))
-    layers.put("health", health)
-    for subscriptions, batch in ((early, 2), (m.subscriptions, 3)):
+    scores, stored = stored_health(m)[1].select("customer_id", "health_score", "mrr_at_risk"), {}
+    for name, rows in (("customers", m.dim_customers), ("health", scores), ("subscriptions", m.subscriptions), ("amendments", m.amendments)):
+        stored[name] = store.materialise(rows, scratch_dir(m.spark, "model"))
+    early = stored["subscriptions"].filter("start_date < DATE '2024-03-01'")
+    layers.put("customers", stored["customers"])
+    layers.put("health", stored["health"])
+    for subscriptions, batch in ((early, 2), (stored["subscriptions"], 3)):
         layers.put("subscriptions", subscriptions)
-        layers.put("amendments", m.amendments.filter(F.col("batch_id") == batch), str(batch))
+        layers.put("amendments", stored["amendments"].filter(F.col("batch_id") == batch), str(batch))
         incremental.build_revenue(layers, m.p)
     return layers
 
