@@ -77,9 +77,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Persist a model and return it as read back, with its lineage cut."""
-    df.write.mode("overwrite").parquet(path)
+def materialise(df: DataFrame, path: str, codec: str | None = None) -> DataFrame:
+    """Persist a model and return it as read back, with its lineage cut; ``codec`` replaces the session's compression."""
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,7 +1,7 @@
 """Models: edge rows, invariants, expected figures, and the comparison with the independent engine."""
 
 import re
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -12,7 +12,7 @@ from retentia.plans import core, quality, revenue, serving, signals
 from retentia.operators.access import Scope
 from verification.bindings import BINDINGS
 from verification.compare import compare, connect
-from verification.models import PARAMS, Models, stored_health
+from verification.models import PARAMS, Models, stored_health, with_stored_lines
 from verification.registry import load_all
 
 SMALL = "/root/testdata/sf0.001"
@@ -229,3 +229,28 @@ def test_amounts_are_added_up_as_whole_cents(spark):
     rows_in = plan.child().output()
     added = [rows_in.apply(i).dataType().simpleString() for i in range(rows_in.size())]
     assert not [t for t in added if t.startswith("decimal")]
+
+
+def test_stored_lines_give_the_same_raw_rows(spark, tmp_path):
+    """Repeated lines and orders, and lines without an order or key, as from the tables themselves."""
+    day = datetime(2001, 2, 3)
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    order = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+
+    def of(key, part=7, price=10.0):
+        return (key, part, 3, 1, 1.0, price, 0.0, 0.05, "A", "O", day)
+
+    spark.createDataFrame([of(1), of(1), of(1, 40), of(2, price=None), of(3, None), of(None), of(9)], line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, 5, "O", 9.0, day, "2-HIGH"), (2, 6, "P", 9.0, day, None), (2, 7, "P", 8.0, day, None), (3, None, "F", None, None, None), (None, 8, "O", 1.0, day, "")]
+    spark.createDataFrame(orders, order).write.parquet(f"{tmp_path}/orders.parquet")
+    plain = Models(spark, str(tmp_path))
+    stored = with_stored_lines(plain)
+    for name in ("raw_invoices", "raw_payments", "raw_adjustments"):
+        rows = [sorted(map(repr, m.raw(name).collect())) for m in (plain, stored)]
+        assert rows[0] == rows[1] and len(rows[0]) == 6
+        assert stored.raw(name).schema == plain.raw(name).schema
+
+
+def test_flags_read_lines_once(spark):
+    plan = load_all()["dq_flags"].build(Models(spark, SMALL))._jdf.queryExecution().toString()
+    assert f"{SMALL}/orders.parquet" in plan and f"{SMALL}/lineitem.parquet" not in plan

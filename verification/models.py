@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retentia import Params, configure
 from retentia.plans import core, health, referrals, revenue, signals, staging, support
+from retentia.plans.ingest import CODEC
 from retentia.session import scratch_dir
 from retentia.sources.store import materialise, spread
 from verification.bindings import BINDINGS
@@ -22,6 +23,8 @@ _SPARK_SPELLING = (
     "CROSS JOIN (SELECT 1 AS b UNION ALL SELECT 2 UNION ALL SELECT 3) bs",
     "LATERAL VIEW explode(array(1, 2, 3)) bs AS b",
 )
+# What invoices, payments and adjustments are read from, and its name when it is stored.
+_LINES, _STORED_LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey", "order_lines"
 
 
 class Models:
@@ -40,7 +43,7 @@ class Models:
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
             text = self.bindings[name].replace(*_SPARK_SPELLING)
-            for t in BASE_TABLES:
+            for t in {*BASE_TABLES, *self._base}:
                 if re.search(rf"\b{t}\b", text):
                     self.base(t).createOrReplaceTempView(t)
             self._raw[name] = self.spark.sql(text)
@@ -234,6 +237,20 @@ def stored_health(m: Models) -> tuple[DataFrame, DataFrame]:
     return stats, health.customer_health_score(m.dim_customers, stats, support, m.financial_signals, m.p)
 
 
+def with_stored_lines(m: Models) -> Models:
+    """The same models, with order lines that are joined to their orders once and stored.
+
+    A plan that builds several tables from lines would else shuffle all lines for each of them, as each reads other columns.
+    """
+    texts = [t.replace(_LINES, "") for t in m.bindings.values() if _LINES in t]
+    lines = m.base("lineitem").join(m.base("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    used = [c for c in lines.columns if any(re.search(rf"\b{c}\b", t) for t in texts)]
+    stored = materialise(lines.select(*used), scratch_dir(m.spark, "lines"), CODEC)
+    found = Models(m.spark, m.dir, m.p, {n: t.replace(_LINES, _STORED_LINES) for n, t in m.bindings.items()})
+    found._base[_STORED_LINES] = stored
+    return found
+
+
 _SHARED: dict[tuple[str, str], Models] = {}
 
 
