@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from retentia import Params
 from retentia.plans import core, quality, revenue, serving, signals
 from retentia.operators.access import Scope
+from retentia.sources.store import Steps
 from verification.bindings import BINDINGS
 from verification.compare import compare, connect
 from verification.models import PARAMS, Models, stored_health, with_stored_lines
@@ -254,3 +255,78 @@ def test_stored_lines_give_the_same_raw_rows(spark, tmp_path):
 def test_flags_read_lines_once(spark):
     plan = load_all()["dq_flags"].build(Models(spark, SMALL))._jdf.queryExecution().toString()
     assert f"{SMALL}/orders.parquet" in plan and f"{SMALL}/lineitem.parquet" not in plan
+
+
+CONTEXT = "invoice_id string, subscription_id string, plan_id string, plan_name string, plan_tier string, billing_cycle string, invoice_status string"
+CUSTOMER = "customer_id string, company_name string, region string, account_tier string, status string"
+
+
+def fact_sides(spark):
+    """Invoices and customers, each with a key that comes twice and one that is missing."""
+    invoices = [("I1", "S1", "P1", "p", "t", "monthly", "paid"), ("I1", "S2", "P1", "p", "t", "annual", None), (None, "S3", "P2", None, None, None, "void")]
+    customers = [("C1", "One", "EMEA", "smb", "active"), ("C2", "Two", None, None, None), ("C2", "Too", "NA", "smb", "trial"), (None, "None", "NA", "smb", "trial")]
+    return spark.createDataFrame(customers, CUSTOMER), spark.createDataFrame(invoices, CONTEXT)
+
+
+def same_in_steps(made, tmp_path, spark, stored):
+    """``made`` with and without stored steps gives the same rows; the last step is read by one join alone."""
+    keep = Steps(spark, str(tmp_path / "steps"))
+    plain, stepped = made(), made(keep)
+    rows = sorted(map(repr, plain.collect()))
+    assert rows == sorted(map(repr, stepped.collect())) and stepped.dtypes == plain.dtypes
+    plan = stepped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "Window" not in plan and keep.made == stored
+    assert len(list((tmp_path / "steps").iterdir())) == stored
+    keep.clear()
+    assert not (tmp_path / "steps").exists()
+    return rows
+
+
+def test_payments_in_steps(spark, tmp_path):
+    columns = "payment_id string, invoice_id string, customer_id string, amount decimal(12,2), payment_method string, payment_date date, status string, transaction_ref string, processor_fee decimal(10,4), net_amount decimal(12,2), batch_id int, _row_seq long"
+    day = date(2024, 1, 2)
+
+    def one(i, invoice, customer, batch=1, status="completed"):
+        return (i, invoice, customer, None, "card", day, status, None, None, None, batch, 1)
+
+    rows = [one("A", "I1", "C2"), one("A", "I1", "C1", 2, "failed"), one("A", "I1", "C1", 2, "failed"), one("B", None, None), one("C", "I9", "C2"), one(None, "I1", "C9", None)]
+    payments = spark.createDataFrame(rows, columns)
+    customers, invoices = fact_sides(spark)
+    got = same_in_steps(lambda *keep: core.fct_payments(payments, customers, invoices, *keep), tmp_path, spark, 2)
+    assert len(got) == 7  # A and the one without an id meet two invoices, C two customers
+
+
+def test_adjustments_in_steps(spark, tmp_path):
+    columns = "adjustment_id string, customer_id string, invoice_id string, adjustment_type string, amount decimal(12,2), reason string, effective_date date, created_date date, approved_by string, status string, reverses_adjustment_id string, batch_id int"
+
+    def one(i, customer, invoice, kind="credit"):
+        return (i, customer, invoice, kind, None, None, None, None, None, "approved", None, 2)
+
+    adjustments = spark.createDataFrame([one("A", "C1", "I1"), one("A", "C1", "I1"), one("B", None, None, None), one(None, "C2", "I9")], columns)
+    customers, invoices = fact_sides(spark)
+    got = same_in_steps(lambda *keep: core.fct_adjustments(adjustments, customers, invoices, *keep), tmp_path, spark, 1)
+    assert len(got) == 7
+
+
+def test_invoices_in_steps(spark, tmp_path):
+    columns = "invoice_id string, customer_id string, subscription_id string, invoice_date date, due_date date, amount decimal(12,2), currency string, status string, line_items_count int, tax_amount decimal(12,2), total_amount decimal(12,2), period_start date, period_end date, created_at date, batch_id int, _row_seq long"
+
+    def one(i, customer, subscription, batch=1):
+        return (i, customer, subscription, None, None, None, "USD", "paid", 1, None, None, None, None, None, batch, 1)
+
+    invoices = spark.createDataFrame([one("A", "C2", "S1"), one("A", "C2", "S1", 2), one("B", None, None), one(None, "C1", "S9")], columns)
+    subs = spark.createDataFrame([("S1", "P1", "monthly"), ("S1", "P2", "annual"), (None, "P1", "annual")], "subscription_id string, plan_id string, billing_cycle string")
+    plans = spark.createDataFrame([("P1", "p", "t"), (None, "n", "n")], "plan_id string, plan_name string, plan_tier string")
+    customers = fact_sides(spark)[0]
+    got = same_in_steps(lambda *keep: core.fct_invoices(invoices, customers, subs, plans, *keep), tmp_path, spark, 1)
+    assert len(got) == 6
+
+
+def test_steps_before_the_last_join_are_removed(spark, tmp_path):
+    keep = Steps(spark, str(tmp_path / "steps"))
+    first, second = keep(spark.range(3)), keep(spark.range(4))
+    keep.clear(but=1)
+    assert [p.name for p in (tmp_path / "steps").iterdir()] == ["2"] and second.count() == 4
+    assert keep(spark.range(5)).count() == 5 and first.schema == second.schema
+    keep.clear()
+    assert not (tmp_path / "steps").exists()

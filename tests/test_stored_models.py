@@ -1,6 +1,8 @@
 """Models checked while written, key sets per batch, bitmaps of distinct keys, tables by region and by bucket."""
 
 import shutil
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from retentia.plans.drift import KeySets
 from retentia.plans.quality import Expectation, dq_flag_counts, profile_batch_key_drift, run_expectations
 from retentia.sources.bucketed import BucketedTables
 from retentia.sources.scoped import RegionTable
+from verification.models import Models
+from verification.registry import load_all
 
 
 def rows_of(df):
@@ -262,3 +266,31 @@ def test_scratch_of_this_application_is_removed(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.glob("retentia-1/a-*"))) == 2
     assert session.clear_scratch(spark)
     assert [p.name for p in tmp_path.glob("retentia-*")] == ["retentia-2"]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    places = [Path(p) for p in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffled():
+        return {f for p in places for f in p.rglob("shuffle_*.data")}
+
+    before = shuffled()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().join(spark.range(5), F.col("k") == F.col("id"))
+    df.hint("merge").write.parquet(str(tmp_path / "out"))
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert rows_of(df) == rows_of(df)  # collected again
+
+
+def test_steps_of_stored_facts_are_removed(spark, tmp_path, monkeypatch):
+    """Scratch rows between the joins go when a fact is written; stored facts are compressed by zstd, and appear together."""
+    monkeypatch.setattr(session, "_run_folder", lambda _: str(tmp_path))
+    flags = load_all()["stored_dq_flags"].build(Models(spark, "/root/testdata/sf0.001"))
+    assert flags.count() and not list(tmp_path.glob("steps-*"))
+    store = next(tmp_path.glob("layers-*"))
+    assert len(list(store.glob("_snapshots/[0-9]*.json"))) == 3
+    written = list(store.glob("model/*/*/part-*.parquet"))
+    assert written and all(".zstd." in p.name for p in written)
