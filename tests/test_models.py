@@ -322,6 +322,13 @@ def test_invoices_in_steps(spark, tmp_path):
     assert len(got) == 6
 
 
+@pytest.mark.parametrize("name", ["fct_adjustments"])
+def test_wide_facts_are_built_in_steps(spark, name):
+    """What the query returns is left with the last join: lines, versions and invoices have been stored."""
+    plan = load_all()[name].build(Models(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "Window" not in plan and "invoice_status" in plan
+
+
 def test_steps_before_the_last_join_are_removed(spark, tmp_path):
     keep = Steps(spark, str(tmp_path / "steps"))
     first, second = keep(spark.range(3)), keep(spark.range(4))

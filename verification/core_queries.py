@@ -9,6 +9,7 @@ from retentia.functions.calendar import months_since
 from retentia.functions.sql import register_functions
 from retentia.params import Params
 from retentia.plans import core, health, signals
+from verification.models import in_steps
 from verification.oracle import RISK_TIER, change, customer, oracle, ratio, rounded, tier
 from verification.registry import query
 
@@ -99,9 +100,13 @@ _CORE = {
     "fct_adjustments": "amount revenue_impact",
     "fct_contract_amendments": "old_mrr new_mrr mrr_delta",
 }
+# Facts of several wide joins, which are run one after the other.
+_IN_STEPS = ("fct_adjustments",)
 for _name, _decimals in _CORE.items():
     _columns = "* EXCLUDE (prev_status)" if _name == "dim_subscriptions" else "*"
-    query(_name, oracle(f"SELECT {_columns} FROM {_name}", DOUBLE=_decimals))(lambda m, n=_name: getattr(m, n))
+    query(_name, oracle(f"SELECT {_columns} FROM {_name}", DOUBLE=_decimals))(
+        lambda m, n=_name: in_steps(m, n) if n in _IN_STEPS else getattr(m, n)
+    )
 
 
 @query(

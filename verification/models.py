@@ -11,7 +11,7 @@ from retentia import Params, configure
 from retentia.plans import core, health, referrals, revenue, signals, staging, support
 from retentia.plans.ingest import CODEC
 from retentia.session import scratch_dir
-from retentia.sources.store import Steps, materialise, spread
+from retentia.sources.store import Keep, Steps, as_is, materialise, spread
 from verification.bindings import BINDINGS
 
 PARAMS = Params(id_width=9)
@@ -33,6 +33,7 @@ class Models:
 
         self._base: dict[str, DataFrame] = {}
         self._raw: dict[str, DataFrame] = {}
+        self.keep: Keep = as_is
 
     def base(self, table: str) -> DataFrame:
         if table not in self._base:
@@ -163,7 +164,8 @@ class Models:
 
     @cached_property
     def fct_adjustments(self) -> DataFrame:
-        return core.fct_adjustments(self.stg_adjustments, self.dim_customers, self.invoice_context)
+        invoices = self.keep(self.invoice_context.select("invoice_id", *core.ADJUSTMENT_CONTEXT))
+        return core.fct_adjustments(self.stg_adjustments, self.dim_customers, invoices, self.keep)
 
     @cached_property
     def amendments(self) -> DataFrame:
@@ -241,7 +243,7 @@ def stored_health(m: Models) -> tuple[DataFrame, DataFrame]:
     return stats, health.customer_health_score(m.dim_customers, stats, support, m.financial_signals, m.p)
 
 
-def with_stored_lines(m: Models) -> Models:
+def with_stored_lines(m: Models, keep: Keep | None = None) -> Models:
     """The same models, with order lines that are joined to their orders once and stored.
 
     A plan that builds several tables from lines would else shuffle all lines for each of them, as each reads other columns.
@@ -249,12 +251,23 @@ def with_stored_lines(m: Models) -> Models:
     texts = [t.replace(_LINES, "") for t in m.bindings.values() if _LINES in t]
     lines = m.base("lineitem").join(m.base("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     used = [c for c in lines.columns if any(re.search(rf"\b{c}\b", t) for t in texts)]
-    stored = materialise(lines.select(*used), scratch_dir(m.spark, "lines"), CODEC)
+    stored = (keep or steps(m))(lines.select(*used))
     found = Models(m.spark, m.dir, m.p, {n: t.replace(_LINES, _STORED_LINES) for n, t in m.bindings.items()})
     found._base[_STORED_LINES] = stored
     return found
 
 
+def in_steps(m: Models, name: str) -> DataFrame:
+    """Adjustments, with order lines and the rows between two joins stored, of which only those that are left
+    for the last join stay."""
+    keep = steps(m)
+    found = with_stored_lines(m, keep)
+    found.keep = keep
+    fact = getattr(found, name)
+    keep.clear(but=1)
+    return fact
+
+
 _SHARED: dict[tuple[str, str], Models] = {}
 
 
