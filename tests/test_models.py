@@ -322,7 +322,7 @@ def test_invoices_in_steps(spark, tmp_path):
     assert len(got) == 6
 
 
-@pytest.mark.parametrize("name", ["fct_adjustments"])
+@pytest.mark.parametrize("name", ["fct_payments", "fct_adjustments"])
 def test_wide_facts_are_built_in_steps(spark, name):
     """What the query returns is left with the last join: lines, versions and invoices have been stored."""
     plan = load_all()[name].build(Models(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString()

@@ -101,7 +101,7 @@ _CORE = {
     "fct_contract_amendments": "old_mrr new_mrr mrr_delta",
 }
 # Facts of several wide joins, which are run one after the other.
-_IN_STEPS = ("fct_adjustments",)
+_IN_STEPS = ("fct_payments", "fct_adjustments")
 for _name, _decimals in _CORE.items():
     _columns = "* EXCLUDE (prev_status)" if _name == "dim_subscriptions" else "*"
     query(_name, oracle(f"SELECT {_columns} FROM {_name}", DOUBLE=_decimals))(

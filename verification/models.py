@@ -138,7 +138,8 @@ class Models:
 
     @cached_property
     def fct_payments(self) -> DataFrame:
-        return core.fct_payments(self.stg_payments, self.dim_customers, self.invoice_context)
+        invoices = self.keep(self.invoice_context.select("invoice_id", *core.PAYMENT_CONTEXT))
+        return core.fct_payments(self.stg_payments, self.dim_customers, invoices, self.keep)
 
     @cached_property
     def fct_usage_events(self) -> DataFrame:
@@ -258,7 +259,7 @@ def with_stored_lines(m: Models, keep: Keep | None = None) -> Models:
 
 
 def in_steps(m: Models, name: str) -> DataFrame:
-    """Adjustments, with order lines and the rows between two joins stored, of which only those that are left
+    """Payments or adjustments, with order lines and the rows between two joins stored, of which only those that are left
     for the last join stay."""
     keep = steps(m)
     found = with_stored_lines(m, keep)
