@@ -169,6 +169,15 @@ def test_usage_is_read_once(models):
         assert sorted(map(repr, stored.collect())) == sorted(map(repr, plain.collect()))
 
 
+def test_score_is_made_of_stored_parts(spark):
+    """Invoices, payments and tickets are rolled up one after the other, so only one's shuffle files lie on disk."""
+    m = Models(spark, SMALL)
+    scored = stored_health(m)[1]
+    read = set(re.findall(r"(\w+)\.parquet", " ".join(scored.inputFiles())))
+    plan = scored._jdf.queryExecution().toString()
+    assert not [t for t in ("lineitem", "orders", "events") if f"{SMALL}/{t}.parquet" in plan] and not {"lineitem", "orders", "events"} & read
+
+
 def test_scope_reaches_the_scan(models, spark, tmp_path):
     path = str(tmp_path / "customers")
     models.dim_customers.write.parquet(path)
